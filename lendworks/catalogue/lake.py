@@ -36,7 +36,7 @@ class Lake:
             for name, df in self.raw.items()
         }
         self.silver = SilverLayer(self.bronze, self.stage.table, as_at=self.now)
-        self.gold = GoldLayer(self.silver.table, self.stage.table, self.today)
+        self.gold = GoldLayer(self.silver, self.stage.table, self.today)
         self._csv: dict[str, str] = {}
 
     def standard(self, source: str) -> DataFrame:

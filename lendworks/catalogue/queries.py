@@ -252,7 +252,7 @@ def g_loan_delinquency(lk: Lake) -> DataFrame:
 @query("safe_pct")
 def loan_collection_rate(lk: Lake) -> DataFrame:
     rate = safe_pct("total_amount_paid", "total_emi_due").alias("collection_rate")
-    return lk.gold.book().select("loan_id", rate)
+    return lk.gold.loan_risk().select("loan_id", rate)
 
 
 @query("status_counts")
@@ -271,13 +271,13 @@ def customers_zero_filled(lk: Lake) -> DataFrame:
 
 @query("customer_risk_category")
 def customer_risk_category(lk: Lake) -> DataFrame:
-    borrowers = rollups.customer_book(lk.gold.book())
+    borrowers = rollups.customer_book(lk.gold.loan_risk())
     return borrowers.select("customer_id", risk.customer_risk_category().alias("risk_category"))
 
 
 @query("loan_risk_score")
 def loan_risk_score(lk: Lake) -> DataFrame:
-    return lk.gold.book().select("loan_id", risk.loan_risk_score().alias("risk_score"))
+    return lk.gold.loan_risk().select("loan_id", risk.loan_risk_score().alias("risk_score"))
 
 
 @query("loan_risk_category")
@@ -372,7 +372,7 @@ def expect_amounts(lk: Lake) -> DataFrame:
 
 @query("expect_rate_range")
 def expect_rate_range(lk: Lake) -> DataFrame:
-    per_loan = rollups.loan_payments(rollups.payments_by_loan_month(lk.declared("emi_payments")))
+    per_loan = rollups.loan_payments(lk.declared("emi_payments"))
     rate = safe_pct("total_amount_paid", "total_emi_due").alias("collection_rate")
     return expect.rates_outside(per_loan.select("loan_id", rate), "collection_rate")
 

@@ -9,9 +9,12 @@ Keys of Silver tables are unique, so counting rows equals counting distinct keys
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendworks.functions.measures import safe_pct, status_counts, zero_fill
+from lendworks.operators.skew import lookup_join
 
 # Output names of the per-status counts.
 LOAN_STATUS = {
@@ -38,20 +41,17 @@ def _sums(columns) -> list[Column]:
     return [F.sum(c).alias(c) for c in columns]
 
 
-def payments_by_loan_month(payments: DataFrame) -> DataFrame:
-    """The finest payment aggregate every other one is rolled up from."""
-    return payments.groupBy(
-        "loan_id", F.date_format("emi_due_date", "yyyy-MM").alias("emi_due_month")
-    ).agg(
+def _payment_sums() -> list[Column]:
+    return [
         _rows().alias("total_emi_records"),
         F.sum("emi_amount").alias("total_emi_due"),
         F.sum("paid_amount").alias("total_amount_paid"),
         *status_counts("payment_status", PAYMENT_STATUS),
-    )
+    ]
 
 
-def loan_payments(loan_months: DataFrame) -> DataFrame:
-    return loan_months.groupBy("loan_id").agg(*_sums(PAYMENT_TOTALS))
+def loan_payments(payments: DataFrame) -> DataFrame:
+    return payments.groupBy("loan_id").agg(*_payment_sums())
 
 
 def loan_delinquency(delinquency: DataFrame) -> DataFrame:
@@ -172,22 +172,30 @@ def branch_book(book: DataFrame) -> DataFrame:
     )
 
 
-def monthly_collection(loan_months: DataFrame, loans: DataFrame) -> DataFrame:
-    """One row per EMI due month and loan type.
+def monthly_collection(payments: DataFrame) -> DataFrame:
+    """One row per EMI due month and loan type; ``payments`` carry the type of their loan.
 
-    ``loan_months`` has one row per loan and month, so its row count is the distinct loan count.
+    Spark counts the distinct loans by pre-aggregating per month, type and loan, so a month with
+    most of the payments is still spread by loan.
     """
-    totals = (
-        loan_months.join(loans.select("loan_id", "loan_type"), "loan_id")
-        .groupBy("emi_due_month", "loan_type")
-        .agg(
-            F.sum("total_emi_records").alias("total_emi_records"),
-            _rows().alias("total_loans"),
-            *_sums(("total_emi_due", "total_amount_paid", *PAYMENT_STATUS.values())),
-        )
+    month = F.date_format("emi_due_date", "yyyy-MM").alias("emi_due_month")
+    totals = payments.groupBy(month, "loan_type").agg(
+        *_payment_sums(), F.count_distinct("loan_id").alias("total_loans")
     )
     return totals.select(
-        "*",
+        "emi_due_month",
+        "loan_type",
+        "total_emi_records",
+        "total_loans",
+        "total_emi_due",
+        "total_amount_paid",
+        *PAYMENT_STATUS.values(),
         safe_pct("total_amount_paid", "total_emi_due").alias("collection_rate"),
         safe_pct("missed_count", "total_emi_records").alias("missed_rate"),
     )
+
+
+def with_loan_type(payments: DataFrame, loans: DataFrame, hot: Iterable = ()) -> DataFrame:
+    """Look the loan type up for payments that do not carry it; orphans are left out."""
+    typed = lookup_join(payments, loans.select("loan_id", "loan_type"), "loan_id", hot)
+    return typed.filter(F.col("loan_type").isNotNull())

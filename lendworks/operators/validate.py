@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendworks.operators.rules import DUPLICATE_FLAG, reference_flag
 from lendworks.operators.skew import flag_duplicates, lookup_join
 from lendworks.operators.standardize import standardize
-from lendworks.sources.registry import BRONZE_AUDIT, SourceSpec
+from lendworks.sources.registry import BRONZE_AUDIT, PARENT_PREFIX, SourceSpec
 
 ACCEPTED = "accepted"
 BROKEN_RULES = "broken_rules"
@@ -48,9 +48,17 @@ def dedupe_latest(df: DataFrame, spec: SourceSpec, hot: Iterable = ()) -> DataFr
 def with_reference_flag(
     df: DataFrame, column: str, parent_keys: DataFrame, hot: Iterable = ()
 ) -> DataFrame:
-    """Add a flag telling whether ``column`` occurs in ``parent_keys`` (one unique column)."""
+    """Add a flag telling whether ``column`` occurs in ``parent_keys``.
+
+    The first column of ``parent_keys`` is the unique key; any others come along, prefixed.
+    """
     flag = reference_flag(column)
-    known = parent_keys.select(F.col(parent_keys.columns[0]).alias(column), F.lit(True).alias(flag))
+    key, *extra = parent_keys.columns
+    known = parent_keys.select(
+        F.col(key).alias(column),
+        F.lit(True).alias(flag),
+        *(F.col(c).alias(PARENT_PREFIX + c) for c in extra),
+    )
     looked_up = lookup_join(df, known, column, hot)
     return looked_up.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
@@ -72,14 +80,18 @@ def validate(
 ) -> DataFrame:
     """Standardise a Bronze table and judge every record against every rule.
 
-    ``parents`` maps each reference column to the accepted keys of its parent source. The result
+    ``parents`` maps each reference column to the accepted keys of its parent source, followed by
+    the parent columns the source carries. The result
     holds the cleansed columns, the Bronze audit columns, the codes of all broken rules and the
     ``accepted`` verdict, so accepted and rejected records come from one evaluation.
     ``find_duplicates=False`` leaves the uniqueness rule to ``mark_superseded``.
     """
     hot = hot or {}
     df = standardize(bronze, spec)
-    carried = df.columns
+    kept = [
+        *df.columns,
+        *(PARENT_PREFIX + c for columns in spec.carried.values() for c in columns),
+    ]
     if not (spec.deduplicated and find_duplicates):
         df = df.withColumn(DUPLICATE_FLAG, F.lit(False))
     else:
@@ -90,7 +102,7 @@ def validate(
     codes = [F.when(r.violated(null_policy), F.lit(r.code)) for r in spec.rules]
     holds = [F.coalesce(r.holds(), F.lit(r.kind == "implies")) for r in spec.rules]
     return df.select(
-        *carried,
+        *kept,
         (F.current_timestamp() if as_at is None else as_at).alias("silver_processed_timestamp"),
         F.array_compact(F.array(*codes)).alias(BROKEN_RULES),
         reduce(lambda a, b: a & b, holds).alias(ACCEPTED),
@@ -115,7 +127,12 @@ def mark_superseded(validated: DataFrame, spec: SourceSpec, hot: Iterable = ())
 
 
 def silver_columns(validated: DataFrame) -> list[str]:
-    return [c for c in validated.columns if c not in (BROKEN_RULES, ACCEPTED)]
+    """Columns of the Silver table: all but verdicts and carried parent columns."""
+    return [
+        c
+        for c in validated.columns
+        if c not in (BROKEN_RULES, ACCEPTED) and not c.startswith(PARENT_PREFIX)
+    ]
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from lendworks.functions import risk
 from lendworks.functions.measures import safe_pct, status_counts, zero_fill
 from lendworks.operators import rollups
 from lendworks.operators.skew import heavy_keys, lookup_join
+from lendworks.plans.silver import SilverLayer
 from lendworks.sources.registry import SOURCES
 
 Hot = Mapping[str, Iterable]
@@ -65,10 +66,10 @@ def branch_performance_summary(branches: DataFrame, book: DataFrame) -> DataFram
     ).select(*BRANCH_COLUMNS)
 
 
-def loan_default_risk_summary(
+def loan_default_risk(
     book: DataFrame, customers: DataFrame, branches: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
-    """One row per accepted loan with its customer, its branch's geography and its risk."""
+    """One row per loan of the book with its customer, its branch's geography and its risk."""
     hot = hot or {}
     person = customers.select("customer_id", "customer_name", "credit_score", "annual_income")
     place = branches.select("branch_id", "branch_name", "city", "state", "region")
@@ -80,7 +81,9 @@ def loan_default_risk_summary(
             "risk_score": risk.loan_risk_score(),
         }
     )
-    return scored.withColumn("risk_category", risk.risk_band("risk_score")).select(*LOAN_COLUMNS)
+    return scored.withColumn("risk_category", risk.risk_band("risk_score")).select(
+        *LOAN_COLUMNS, "npa_records"
+    )
 
 
 def portfolio_kpis(loan_risk: DataFrame, kpi_date: Column | None = None) -> DataFrame:
@@ -170,14 +173,16 @@ def customer_risk_score(loan_risk: DataFrame) -> DataFrame:
 
 
 class GoldLayer:
-    """Gold tables over Silver frames, keyed by source name.
+    """Gold tables over the Silver layer.
 
-    The two loan-level aggregates and the loan mart are saved once; all other marts roll them up.
+    The loan-level result is saved once and every other loan-based mart rolls it up, so payments are
+    reduced to loans a single time. It keeps ``npa_records`` for the branch mart on top of the
+    published loan columns.
     """
 
     def __init__(
         self,
-        silver: Callable[[str], DataFrame],
+        silver: SilverLayer,
         save: Callable[[str, Callable[[], DataFrame]], DataFrame],
         kpi_date: Column | None = None,
     ):
@@ -185,48 +190,38 @@ class GoldLayer:
         self._save = save
         self._kpi_date = kpi_date
 
-    def loan_months(self) -> DataFrame:
-        return self._save(
-            "loan_months", lambda: rollups.payments_by_loan_month(self._silver("emi_payments"))
-        )
-
     def loan_payments(self) -> DataFrame:
-        return rollups.loan_payments(self.loan_months())
+        return rollups.loan_payments(self._silver.table("emi_payments"))
 
     def loan_delinquency(self) -> DataFrame:
-        return rollups.loan_delinquency(self._silver("delinquency"))
-
-    def book(self) -> DataFrame:
-        return self._save(
-            "loan_book",
-            lambda: rollups.loan_book(
-                self._silver("loan_accounts").select(*SOURCES["loan_accounts"].columns),
-                self.loan_payments(),
-                self.loan_delinquency(),
-            ),
+        return rollups.loan_delinquency(self._silver.table("delinquency"))
+
+    def loan_risk(self) -> DataFrame:
+        return self._save("loan_risk", self._build_loan_risk)
+
+    def _build_loan_risk(self) -> DataFrame:
+        loans = self._silver.table("loan_accounts").select(*SOURCES["loan_accounts"].columns)
+        return loan_default_risk(
+            rollups.loan_book(loans, self.loan_payments(), self.loan_delinquency()),
+            self._silver.table("customers"),
+            self._silver.table("branch_master"),
+            heavy_keys(loans, ["customer_id", "branch_id"]),
         )
 
     def customer_loan_summary(self) -> DataFrame:
-        return customer_loan_summary(self._silver("customers"), self.book())
+        return customer_loan_summary(self._silver.table("customers"), self.loan_risk())
 
     def branch_performance_summary(self) -> DataFrame:
-        return branch_performance_summary(self._silver("branch_master"), self.book())
+        return branch_performance_summary(self._silver.table("branch_master"), self.loan_risk())
 
     def monthly_collection_summary(self) -> DataFrame:
-        return rollups.monthly_collection(self.loan_months(), self._silver("loan_accounts"))
-
-    def _loan_risk(self) -> DataFrame:
-        book = self.book()
-        hot = heavy_keys(book, ["customer_id", "branch_id"])
-        return loan_default_risk_summary(
-            book, self._silver("customers"), self._silver("branch_master"), hot
-        )
+        return rollups.monthly_collection(self._silver.payments_by_type())
 
     def loan_default_risk_summary(self) -> DataFrame:
-        return self._save("loan_default_risk_summary", self._loan_risk)
+        return self.loan_risk().select(*LOAN_COLUMNS)
 
     def portfolio_kpis(self) -> DataFrame:
-        return portfolio_kpis(self.loan_default_risk_summary(), self._kpi_date)
+        return portfolio_kpis(self.loan_risk(), self._kpi_date)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -238,7 +233,7 @@ class GoldLayer:
         }
 
     def planned_tables(self) -> dict[str, DataFrame]:
-        loan_risk = self.loan_default_risk_summary()
+        loan_risk = self.loan_risk()
         return {
             "branch_risk_summary": branch_risk_summary(loan_risk),
             "npa_summary": npa_summary(loan_risk),

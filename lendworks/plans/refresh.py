@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lendworks.config import LakeConfig
 from lendworks.operators.validate import ACCEPTED, silver_columns
 from lendworks.plans.checks import check_gold
-from lendworks.plans.gold import GoldLayer, stamped
+from lendworks.plans.gold import LOAN_COLUMNS, GoldLayer, stamped
 from lendworks.plans.reporting import register_staging_views, reporting_marts
 from lendworks.plans.silver import SilverLayer
 from lendworks.sources.raw_files import read_raw, row_counts, stamp_bronze
@@ -64,46 +64,61 @@ def load_bronze(spark: SparkSession, cfg: LakeConfig) -> tuple[dict[str, DataFra
     return bronze, missing
 
 
-def _saver(cfg: LakeConfig, layer_of: Callable[[str], str]):
-    """Write each named table on first request, then hand out its reader."""
+def _saver(cfg: LakeConfig, finish: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """Write each named work table on first request, then hand out its reader."""
     saved: dict[str, DataFrame] = {}
 
     def save(name, build, partition_by=()):
         if name not in saved:
-            saved[name] = write_table(build(), cfg, layer_of(name), name, partition_by)
+            saved[name] = write_table(finish(build()), cfg, "work", name, partition_by)
         return saved[name]
 
     return save
 
 
-def publish_silver_views(spark: SparkSession, cfg: LakeConfig, silver: SilverLayer) -> dict[str, DataFrame]:
-    """Silver tables as catalog views on the accepted partition: no second copy of the data."""
-    for source in SOURCES:
-        validated = silver.validated(source)
+def _view(spark: SparkSession, cfg: LakeConfig, layer: str, name: str, select: str) -> DataFrame:
+    """A published table as a catalog view on a saved one: no second copy of the data."""
+    full_name = cfg.table(layer, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {full_name} AS {select}")
+    return spark.table(full_name)
+
+
+def publish_silver(spark: SparkSession, cfg: LakeConfig, silver: SilverLayer) -> dict[str, DataFrame]:
+    """Silver tables: the accepted partition of each validated table."""
+
+    def select(source: str) -> str:
         columns = [
             "'SILVER' AS pipeline_layer" if c == "pipeline_layer" else f"`{c}`"
-            for c in silver_columns(validated)
+            for c in silver_columns(silver.validated(source))
         ]
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {cfg.table('silver', source)} AS SELECT {', '.join(columns)} "
-            f"FROM {cfg.table('work', f'validated_{source}')} WHERE {ACCEPTED}"
-        )
-    return {s: spark.table(cfg.table("silver", s)) for s in SOURCES}
+        saved = cfg.table("work", f"validated_{source}")
+        return f"SELECT {', '.join(columns)} FROM {saved} WHERE {ACCEPTED}"
+
+    return {s: _view(spark, cfg, "silver", s, select(s)) for s in SOURCES}
+
+
+def publish_gold(spark: SparkSession, cfg: LakeConfig, layer: GoldLayer) -> dict[str, DataFrame]:
+    """Gold tables; the loan mart is a view on the saved loan-level result."""
+    gold = {}
+    for name, df in (layer.tables() | layer.planned_tables()).items():
+        if name == "loan_default_risk_summary":
+            columns = ", ".join((*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"))
+            select = f"SELECT {columns} FROM {cfg.table('work', 'loan_risk')}"
+            gold[name] = _view(spark, cfg, "gold", name, select)
+        else:
+            gold[name] = write_table(stamped(df, cfg.now()), cfg, "gold", name)
+    return gold
 
 
 def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
     bronze, missing = load_bronze(spark, cfg)
 
-    layer = SilverLayer(bronze, _saver(cfg, lambda name: "work"), cfg.null_policy, cfg.now())
-    silver = publish_silver_views(spark, cfg, layer)
-    rejects = write_table(layer.all_rejects(), cfg, "silver", "rejected_records")
+    silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now())
+    silver = publish_silver(spark, cfg, silver_layer)
+    rejects = write_table(silver_layer.all_rejects(), cfg, "silver", "rejected_records")
 
-    gold_save = _saver(cfg, lambda name: "work")
-    gold_layer = GoldLayer(silver.__getitem__, gold_save, cfg.today())
-    gold = {
-        name: write_table(stamped(df, cfg.now()), cfg, "gold", name)
-        for name, df in (gold_layer.tables() | gold_layer.planned_tables()).items()
-    }
+    save_stamped = _saver(cfg, lambda df: stamped(df, cfg.now()))
+    gold = publish_gold(spark, cfg, GoldLayer(silver_layer, save_stamped, cfg.today()))
     register_staging_views(gold)
     marts = {
         name: write_table(df, cfg, "reporting", name) for name, df in reporting_marts(gold).items()

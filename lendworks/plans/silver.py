@@ -47,15 +47,23 @@ class SilverLayer:
 
     def _validate(self, source: str) -> DataFrame:
         spec = SOURCES[source]
-        parents = {column: self.keys(parent) for column, parent in spec.references.items()}
+        parents = {
+            column: self.keys(parent, *spec.carried.get(column, ()))
+            for column, parent in spec.references.items()
+        }
         bronze = self._bronze[source]
         keys = [*([spec.key] if spec.deduplicated else []), *spec.references]
         hot = heavy_keys(standardize(bronze, spec), keys)
         return validate(bronze, spec, parents, hot, self._null_policy, self._as_at)
 
-    def keys(self, source: str) -> DataFrame:
+    def keys(self, source: str, *extra: str) -> DataFrame:
         """Accepted keys of a source; unique because duplicates are rejected."""
-        return self.validated(source).filter(ACCEPTED).select(SOURCES[source].key)
+        return self.validated(source).filter(ACCEPTED).select(SOURCES[source].key, *extra)
+
+    def payments_by_type(self) -> DataFrame:
+        """Accepted payments with the loan type their reference check found."""
+        payments = self.validated("emi_payments").filter(ACCEPTED)
+        return payments.withColumnRenamed("parent_loan_type", "loan_type")
 
     def table(self, source: str) -> DataFrame:
         return accepted(self.validated(source))

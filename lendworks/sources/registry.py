@@ -29,6 +29,9 @@ BRONZE_AUDIT = (
 )
 
 
+PARENT_PREFIX = "parent_"
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     name: str
@@ -37,6 +40,9 @@ class SourceSpec:
     cleanse: dict[str, str]
     rules: tuple[Rule, ...]
     references: dict[str, str] = field(default_factory=dict)  # column -> parent source
+    # Parent columns kept beside the child in its validated table, as reference column -> names. The
+    # reference check visits the parent anyway, and Gold then needs no join of its own for them.
+    carried: dict[str, tuple[str, ...]] = field(default_factory=dict)
     # Business order among copies of one key after ingestion time and file, as (column, direction).
     latest_by: tuple[tuple[str, str], ...] = ()
 
@@ -201,6 +207,7 @@ EMI_PAYMENTS = SourceSpec(
         ),
     ),
     references={"loan_id": "loan_accounts"},
+    carried={"loan_id": ("loan_type",)},
     latest_by=(
         ("emi_due_date", "desc"),
         ("emi_amount", "desc"),
