@@ -10,7 +10,8 @@ from lendworks.operators.standardize import standardize
 from lendworks.plans.gold import GoldLayer
 from lendworks.plans.reporting import reporting_marts
 from lendworks.plans.silver import SilverLayer
-from lendworks.sources.loan_views import loan_views
+from lendworks.sizing import size_shuffles
+from lendworks.sources.loan_views import BASE_TABLES, loan_views
 from lendworks.sources.raw_files import read_raw, stamp_bronze, timestamp_literal
 from lendworks.sources.registry import SOURCES
 from lendworks.staging import Stage
@@ -22,6 +23,7 @@ BATCH = "2026-06-30"
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        size_shuffles(spark, (f"{sf_dir}/{t}.parquet" for t in BASE_TABLES))
         self.stage = Stage(spark)
         self.now = timestamp_literal(AS_OF)
         self.today = F.lit(AS_OF.date().isoformat()).cast("date")

@@ -11,6 +11,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lendworks.sizing import shuffle_width
+
 HOT_SHARE = 0.001  # share of a table from which a key counts as heavy
 HOT_ROWS = 100_000  # groups below this size never strain a task
 SKETCH_ITEMS = 10_000
@@ -56,7 +58,7 @@ def _spread(df: DataFrame) -> Column:
 
     It does not depend on row order inside a task, hence a recomputed task yields the same salt.
     """
-    salts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 32)
+    salts = max(shuffle_width(df.sparkSession), 32)
     return F.pmod(F.spark_partition_id(), F.lit(salts))
 
 

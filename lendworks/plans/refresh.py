@@ -13,6 +13,7 @@ from lendworks.plans.checks import check_gold
 from lendworks.plans.gold import LOAN_COLUMNS, GoldLayer, stamped
 from lendworks.plans.reporting import register_staging_views, reporting_marts
 from lendworks.plans.silver import SilverLayer
+from lendworks.sizing import size_shuffles
 from lendworks.sources.raw_files import read_raw, row_counts, stamp_bronze
 from lendworks.sources.registry import SOURCES, SourceSpec
 from lendworks.sources.tables import write_rejected_zone, write_table
@@ -111,6 +112,7 @@ def publish_gold(spark: SparkSession, cfg: LakeConfig, layer: GoldLayer) -> dict
 
 
 def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
+    size_shuffles(spark, [cfg.zone("raw")])
     bronze, missing = load_bronze(spark, cfg)
 
     silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now())
