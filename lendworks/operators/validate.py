@@ -100,13 +100,16 @@ def validate(
         df = with_reference_flag(df, column, parents[column], hot.get(column, ()))
 
     codes = [F.when(r.violated(null_policy), F.lit(r.code)) for r in spec.rules]
-    holds = [F.coalesce(r.holds(), F.lit(r.kind == "implies")) for r in spec.rules]
-    return df.select(
+    judged = df.select(
         *kept,
         (F.current_timestamp() if as_at is None else as_at).alias("silver_processed_timestamp"),
         F.array_compact(F.array(*codes)).alias(BROKEN_RULES),
-        reduce(lambda a, b: a & b, holds).alias(ACCEPTED),
     )
+    verdict = F.size(BROKEN_RULES) == 0
+    if null_policy == "drop":
+        undecidable = (F.col(r.column).isNotNull() for r in spec.rules if r.kind == "one_of")
+        verdict = reduce(lambda a, b: a & b, undecidable, verdict)
+    return judged.withColumn(ACCEPTED, verdict)
 
 
 def mark_superseded(validated: DataFrame, spec: SourceSpec, hot: Iterable = ()) -> DataFrame:

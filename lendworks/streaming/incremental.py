@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lendworks.operators.skew import heavy_keys
+from lendworks.operators.standardize import standardize
 from lendworks.operators.validate import ACCEPTED, mark_superseded, validate
 from lendworks.sources.raw_files import stamp_bronze, with_source_file
 from lendworks.sources.registry import SourceSpec
@@ -69,7 +71,8 @@ def validate_new_rows(
             batch,
             spec,
             parent_keys(),
-            null_policy=null_policy,
+            heavy_keys(standardize(batch, spec), list(spec.references)),
+            null_policy,
             as_at=as_at,
             find_duplicates=False,
         )
@@ -92,13 +95,19 @@ def validated_log(spark: SparkSession, log_path: str) -> DataFrame:
     return log.withColumn(ACCEPTED, F.col(ACCEPTED).cast("boolean"))  # folder names are text
 
 
-def current_records(log: DataFrame, spec: SourceSpec, hot: Iterable = ()) -> DataFrame:
+def current_records(
+    log: DataFrame, spec: SourceSpec, hot: Iterable | None = None
+) -> DataFrame:
     """All validated records with superseded ones marked as duplicates.
 
     The newest record of a key decides, valid or not, exactly as in a full refresh over the same
     rows. Accepted and rejected records are then taken from it as from any validated table.
     """
-    return mark_superseded(log, spec, hot) if spec.deduplicated else log
+    if not spec.deduplicated:
+        return log
+    if hot is None:
+        hot = heavy_keys(log, [spec.key])[spec.key]
+    return mark_superseded(log, spec, hot)
 
 
 def fold(current: DataFrame, versions: str, version: int) -> str:
