@@ -12,7 +12,6 @@ from lendworks.functions import risk
 from lendworks.functions.measures import safe_pct, status_counts, zero_fill
 from lendworks.operators import expect, rollups
 from lendworks.operators.rules import reference_flag
-from lendworks.operators.skew import heavy_keys
 from lendworks.operators.validate import (
     broken_rules,
     dedupe_latest,
@@ -104,15 +103,14 @@ for _name, _kind in {
 def latest_payments(lk: Lake) -> DataFrame:
     spec = SOURCES["emi_payments"]
     rows = lk.standard(spec.name)
-    hot = heavy_keys(rows, [spec.key])
-    return dedupe_latest(rows, spec, hot[spec.key]).select(*spec.columns)
+    return dedupe_latest(rows, spec, lk.hot(rows, spec.key)[spec.key]).select(*spec.columns)
 
 
 @query("rule_unique")
 def rule_unique(lk: Lake) -> DataFrame:
     def duplicates(name, spec):
         rows = lk.standard(name)
-        flagged = with_duplicate_flag(rows, spec, heavy_keys(rows, [spec.key])[spec.key])
+        flagged = with_duplicate_flag(rows, spec, lk.hot(rows, spec.key)[spec.key])
         return broken_rules(flagged, spec, "unique")
 
     return _union(duplicates(n, s) for n, s in SOURCES.items() if s.deduplicated)
@@ -122,7 +120,7 @@ def rule_unique(lk: Lake) -> DataFrame:
 def rule_reference(lk: Lake) -> DataFrame:
     def missing(name, spec):
         rows = lk.standard(name)
-        hot = heavy_keys(rows, list(spec.references))
+        hot = lk.hot(rows, *spec.references)
         for column, parent in spec.references.items():
             rows = with_reference_flag(rows, column, lk.silver.keys(parent), hot[column])
         return broken_rules(rows, spec, "exists")
@@ -133,7 +131,7 @@ def rule_reference(lk: Lake) -> DataFrame:
 @query("orphans_anti_join")
 def orphan_payments(lk: Lake) -> DataFrame:
     rows = lk.declared("emi_payments")
-    hot = heavy_keys(rows, ["loan_id"])["loan_id"]
+    hot = lk.hot(rows, "loan_id")["loan_id"]
     return orphans(rows, "loan_id", lk.silver.keys("loan_accounts"), hot)
 
 
@@ -150,7 +148,7 @@ def cascade_rejects(lk: Lake) -> DataFrame:
             ~F.col("accepted") & F.array_contains("broken_rules", rule.code)
         )
         children = children.select(spec.key, column)
-        hot = heavy_keys(children, [column])[column]
+        hot = lk.hot(children, column)[column]
         flagged = with_reference_flag(children, column, turned_away, hot)
         return flagged.filter(reference_flag(column)).select(
             F.lit(spec.bronze_table).alias("source_table"),

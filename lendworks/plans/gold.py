@@ -185,10 +185,12 @@ class GoldLayer:
         silver: SilverLayer,
         save: Callable[[str, Callable[[], DataFrame]], DataFrame],
         kpi_date: Column | None = None,
+        probe_skew: bool = True,
     ):
         self._silver = silver
         self._save = save
         self._kpi_date = kpi_date
+        self._probe_skew = probe_skew
 
     def loan_payments(self) -> DataFrame:
         return rollups.loan_payments(self._silver.table("emi_payments"))
@@ -205,7 +207,7 @@ class GoldLayer:
             rollups.loan_book(loans, self.loan_payments(), self.loan_delinquency()),
             self._silver.table("customers"),
             self._silver.table("branch_master"),
-            heavy_keys(loans, ["customer_id", "branch_id"]),
+            heavy_keys(loans, ["customer_id", "branch_id"]) if self._probe_skew else {},
         )
 
     def customer_loan_summary(self) -> DataFrame:

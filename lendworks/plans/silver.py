@@ -36,11 +36,13 @@ class SilverLayer:
         save: Save,
         null_policy: str = "reject",
         as_at: Column | None = None,
+        probe_skew: bool = True,
     ):
         self._bronze = bronze
         self._save = save
         self._null_policy = null_policy
         self._as_at = as_at
+        self._probe_skew = probe_skew
 
     def validated(self, source: str) -> DataFrame:
         return self._save(f"validated_{source}", lambda: self._validate(source), (ACCEPTED,))
@@ -53,7 +55,7 @@ class SilverLayer:
         }
         bronze = self._bronze[source]
         keys = [*([spec.key] if spec.deduplicated else []), *spec.references]
-        hot = heavy_keys(standardize(bronze, spec), keys)
+        hot = heavy_keys(standardize(bronze, spec), keys) if self._probe_skew else {}
         return validate(bronze, spec, parents, hot, self._null_policy, self._as_at)
 
     def keys(self, source: str, *extra: str) -> DataFrame:

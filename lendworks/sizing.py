@@ -10,9 +10,16 @@ TARGET_BYTES = 128 * 1024 * 1024  # shuffled data per task
 EXPANSION = 4  # shuffled rows against compressed columnar input
 MOST_PARTITIONS = 32_768  # beyond this the map-output bookkeeping costs more than spilling
 WIDTH = "spark.sql.shuffle.partitions"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+SCAN_DEFAULTS = ("128MB", "134217728", "134217728b")
+MOST_SCANS = 65_536  # scan tasks per full read of the input
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+# Below this much input no key can hold enough rows to strain a task.
+SKEW_PROBE_BYTES = 256 * 1024 * 1024
+
+
 def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Bytes under the paths, from file-system metadata; a missing path counts nothing."""
     total = 0
@@ -29,15 +36,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(configured, int(spark.conf.get(INITIAL, None) or 0))
 
 
-def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> int:
-    """Start shuffles wide enough for the input; adaptive execution merges what stays small.
+def size_session(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles wide enough for the input, and read it in a bounded number of tasks.
 
-    A session that sets the initial number itself keeps it, and the configured width is never
-    lowered.
+    Adaptive execution merges shuffle partitions that stay small. Settings the session made itself
+    are kept, and the configured width is never lowered.
     """
     if spark.conf.get(INITIAL, None) is None:
-        wanted = -(-stored_bytes(spark, paths) * EXPANSION // TARGET_BYTES)
-        wanted = min(wanted, MOST_PARTITIONS)
+        wanted = min(-(-input_bytes * EXPANSION // TARGET_BYTES), MOST_PARTITIONS)
         if wanted > int(spark.conf.get(WIDTH)):
             spark.conf.set(INITIAL, wanted)
-    return shuffle_width(spark)
+    if spark.conf.get(SCAN_BYTES) in SCAN_DEFAULTS and input_bytes > MOST_SCANS * TARGET_BYTES:
+        spark.conf.set(SCAN_BYTES, input_bytes // MOST_SCANS)

@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from lendworks import sizing
 from lendworks.operators.skew import flag_duplicates, heavy_keys, is_any_of, lookup_join
-from lendworks.sizing import INITIAL, size_shuffles
 from tests.helpers import rows
 
 
@@ -83,14 +83,18 @@ def test_heavy_rows_of_a_lookup_are_broadcast_and_spread(spark, skewed):
     assert sum(shares) == 1000 and max(shares) < 1000
 
 
-def test_shuffles_start_wide_for_large_input(spark, monkeypatch):
-    import lendworks.sizing as sizing
-
-    assert size_shuffles(spark, ["/nonexistent"]) == 8
-    monkeypatch.setattr(sizing, "stored_bytes", lambda *_: 100 * 2**40)
+def test_session_is_sized_by_input(spark):
+    before = spark.conf.get(sizing.SCAN_BYTES)
     try:
-        assert size_shuffles(spark, []) == sizing.MOST_PARTITIONS
-        monkeypatch.setattr(sizing, "stored_bytes", lambda *_: 2**40)
-        assert size_shuffles(spark, []) == sizing.MOST_PARTITIONS  # set once, then kept
+        sizing.size_session(spark, 10 * 2**20)
+        assert sizing.shuffle_width(spark) == 8
+        assert spark.conf.get(sizing.SCAN_BYTES) == before
+        sizing.size_session(spark, 100 * 2**40)
+        assert sizing.shuffle_width(spark) == sizing.MOST_PARTITIONS
+        assert int(spark.conf.get(sizing.SCAN_BYTES)) == 100 * 2**40 // sizing.MOST_SCANS
+        sizing.size_session(spark, 2**40)  # set before, so kept
+        assert sizing.shuffle_width(spark) == sizing.MOST_PARTITIONS
     finally:
-        spark.conf.unset(INITIAL)
+        spark.conf.unset(sizing.INITIAL)
+        spark.conf.unset(sizing.SCAN_BYTES)
+    assert sizing.stored_bytes(spark, ["/nonexistent"]) == 0
