@@ -76,6 +76,7 @@ class Lake:
 
     def gold_tables(self) -> dict[str, DataFrame]:
         """All Gold tables, saved like the layers below them."""
+        self.silver.build()
         return {
             name: self.stage.table(f"gold_{name}", lambda df=df: df)
             for name, df in self.gold.tables().items()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,13 @@ def _bronze_rows(spark: SparkSession, cfg: LakeConfig, spec: SourceSpec, arrived
 def load_bronze(spark: SparkSession, cfg: LakeConfig) -> tuple[dict[str, DataFrame], list[str]]:
     """Write all Bronze tables; a missing source is reported and loaded empty."""
     missing = [s for s in SOURCES if not _exists(spark, cfg.raw(s))]
-    bronze = {
-        name: write_table(_bronze_rows(spark, cfg, spec, name not in missing), cfg, "bronze", name)
-        for name, spec in SOURCES.items()
-    }
-    return bronze, missing
+
+    def load(spec: SourceSpec) -> DataFrame:
+        rows = _bronze_rows(spark, cfg, spec, spec.name not in missing)
+        return write_table(rows, cfg, "bronze", spec.name)
+
+    with ThreadPoolExecutor(len(SOURCES)) as pool:
+        return dict(zip(SOURCES, pool.map(load, SOURCES.values()))), missing
 
 
 def _saver(cfg: LakeConfig, finish: Callable[[DataFrame], DataFrame] = lambda df: df):
@@ -100,15 +103,17 @@ def publish_silver(spark: SparkSession, cfg: LakeConfig, silver: SilverLayer) ->
 
 def publish_gold(spark: SparkSession, cfg: LakeConfig, layer: GoldLayer) -> dict[str, DataFrame]:
     """Gold tables; the loan mart is a view on the saved loan-level result."""
-    gold = {}
-    for name, df in (layer.tables() | layer.planned_tables()).items():
-        if name == "loan_default_risk_summary":
-            columns = ", ".join((*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"))
-            select = f"SELECT {columns} FROM {cfg.table('work', 'loan_risk')}"
-            gold[name] = _view(spark, cfg, "gold", name, select)
-        else:
-            gold[name] = write_table(stamped(df, cfg.now()), cfg, "gold", name)
-    return gold
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        if name != "loan_default_risk_summary":
+            return write_table(stamped(df, cfg.now()), cfg, "gold", name)
+        columns = ", ".join((*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"))
+        select = f"SELECT {columns} FROM {cfg.table('work', 'loan_risk')}"
+        return _view(spark, cfg, "gold", name, select)
+
+    tables = layer.tables() | layer.planned_tables()
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(save, tables, tables.values())))
 
 
 def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
@@ -118,6 +123,7 @@ def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
     bronze, missing = load_bronze(spark, cfg)
 
     silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now(), probe_skew)
+    silver_layer.build()
     silver = publish_silver(spark, cfg, silver_layer)
     rejects = write_table(silver_layer.all_rejects(), cfg, "silver", "rejected_records")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 
@@ -58,6 +59,18 @@ class SilverLayer:
         hot = heavy_keys(standardize(bronze, spec), keys) if self._probe_skew else {}
         return validate(bronze, spec, parents, hot, self._null_policy, self._as_at)
 
+    def build(self) -> None:
+        """Save all validated tables; sources whose parents are ready run side by side.
+
+        The threads only submit jobs, so a small table does not leave the cluster waiting.
+        """
+        waiting = [s for s in SOURCES if s in self._bronze]
+        with ThreadPoolExecutor(len(SOURCES)) as pool:
+            while waiting:
+                ready = [s for s in waiting if not set(SOURCES[s].references.values()) & set(waiting)]
+                list(pool.map(self.validated, ready))
+                waiting = [s for s in waiting if s not in ready]
+
     def keys(self, source: str, *extra: str) -> DataFrame:
         """Accepted keys of a source; unique because duplicates are rejected."""
         return self.validated(source).filter(ACCEPTED).select(SOURCES[source].key, *extra)
@@ -74,7 +87,9 @@ class SilverLayer:
         return rejected(self.validated(source), SOURCES[source])
 
     def all_rejects(self) -> DataFrame:
+        self.build()
         return all_rejects(self.rejects(s) for s in self._bronze)
 
     def reconciliation(self) -> DataFrame:
+        self.build()
         return all_rejects(reconcile(self.validated(s), SOURCES[s]) for s in self._bronze)
