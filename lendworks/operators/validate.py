@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendworks.operators.rules import DUPLICATE_FLAG, reference_flag
+from lendworks.operators.rules import DUPLICATE_FLAG, Rule, reference_flag
 from lendworks.operators.skew import flag_duplicates, lookup_join
 from lendworks.operators.standardize import standardize
 from lendworks.sources.registry import BRONZE_AUDIT, PARENT_PREFIX, SourceSpec
@@ -69,6 +69,19 @@ def orphans(df: DataFrame, column: str, parent_keys: DataFrame, hot: Iterable =
     return with_reference_flag(df, column, parent_keys, hot).filter(~F.col(flag)).drop(flag)
 
 
+def _joined_codes(rules: Iterable[Rule], null_policy: str) -> Column:
+    """Codes of the broken rules as text, empty for a clean record.
+
+    Text keeps the per-record work in generated code; filtering an array of codes would not.
+    """
+    return F.concat_ws(",", *(F.when(r.violated(null_policy), F.lit(r.code)) for r in rules))
+
+
+def _split_codes(column: str) -> Column:
+    none = F.array().cast("array<string>")
+    return F.when(F.col(column) == "", none).otherwise(F.split(column, ","))
+
+
 def validate(
     bronze: DataFrame,
     spec: SourceSpec,
@@ -99,17 +112,21 @@ def validate(
     for column in spec.references:
         df = with_reference_flag(df, column, parents[column], hot.get(column, ()))
 
-    codes = [F.when(r.violated(null_policy), F.lit(r.code)) for r in spec.rules]
     judged = df.select(
         *kept,
         (F.current_timestamp() if as_at is None else as_at).alias("silver_processed_timestamp"),
-        F.array_compact(F.array(*codes)).alias(BROKEN_RULES),
+        _joined_codes(spec.rules, null_policy).alias("_codes"),
     )
-    verdict = F.size(BROKEN_RULES) == 0
+    verdict = F.col("_codes") == ""
     if null_policy == "drop":
-        undecidable = (F.col(r.column).isNotNull() for r in spec.rules if r.kind == "one_of")
-        verdict = reduce(lambda a, b: a & b, undecidable, verdict)
-    return judged.withColumn(ACCEPTED, verdict)
+        decided = (F.col(r.column).isNotNull() for r in spec.rules if r.kind == "one_of")
+        verdict = reduce(lambda a, b: a & b, decided, verdict)
+    return judged.select(
+        *kept,
+        "silver_processed_timestamp",
+        _split_codes("_codes").alias(BROKEN_RULES),
+        verdict.alias(ACCEPTED),
+    )
 
 
 def mark_superseded(validated: DataFrame, spec: SourceSpec, hot: Iterable = ()) -> DataFrame:
@@ -150,12 +167,13 @@ def broken_rules(df: DataFrame, spec: SourceSpec, *kinds: str, null_policy: str
 
     ``df`` is standardised and carries whatever flag columns those kinds read.
     """
-    codes = [F.when(r.violated(null_policy), F.lit(r.code)) for r in spec.rules if r.kind in kinds]
-    return df.select(
+    chosen = [r for r in spec.rules if r.kind in kinds]
+    hits = df.select(
         F.lit(spec.bronze_table).alias("source_table"),
         F.col(spec.key).alias("record_id"),
-        F.explode(F.array_compact(F.array(*codes))).alias("rule_code"),
-    )
+        _joined_codes(chosen, null_policy).alias("_codes"),
+    ).filter(F.col("_codes") != "")
+    return hits.select("source_table", "record_id", F.explode(F.split("_codes", ",")).alias("rule_code"))
 
 
 def rejected(validated: DataFrame, spec: SourceSpec) -> DataFrame:

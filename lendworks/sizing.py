@@ -16,6 +16,11 @@ MOST_SCANS = 65_536  # scan tasks per full read of the input
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+# Tables are saved partitioned by verdict. With a few writers open per task, Spark need not sort every
+# task's rows by partition first; beyond that number it falls back to sorting.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+VERDICT_WRITERS = 4
+
 # Below this much input no key can hold enough rows to strain a task.
 SKEW_PROBE_BYTES = 256 * 1024 * 1024
 
@@ -37,7 +42,7 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def size_session(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles wide enough for the input, and read it in a bounded number of tasks.
+    """Fit shuffle width, scan tasks and writers to the input.
 
     Adaptive execution merges shuffle partitions that stay small. Settings the session made itself
     are kept, and the configured width is never lowered.
@@ -48,3 +53,5 @@ def size_session(spark: SparkSession, input_bytes: int) -> None:
             spark.conf.set(INITIAL, wanted)
     if spark.conf.get(SCAN_BYTES) in SCAN_DEFAULTS and input_bytes > MOST_SCANS * TARGET_BYTES:
         spark.conf.set(SCAN_BYTES, input_bytes // MOST_SCANS)
+    if int(spark.conf.get(WRITERS)) == 0:
+        spark.conf.set(WRITERS, VERDICT_WRITERS)
