@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, mixing
+from lendworks.llm import bpe, exact, mixing, simhash, token_store
+from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +37,17 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Stage(spark).folder("tokens")
+    token_store.write_tokens(read(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=1)
+    return token_store.read_tokens(spark, folder)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(read(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -43,5 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_mix_sources": op3_mix_sources,
+    "op7_token_files": op7_token_files,
+    "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
