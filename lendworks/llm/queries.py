@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, line_dedup, mixing, simhash, token_store
+from lendworks.llm import bpe, exact, line_dedup, mixing, quality, simhash, token_store
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.classify(docs, read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Stage(spark).folder("tokens")
     token_store.write_tokens(read(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=1)
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
