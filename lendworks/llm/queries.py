@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, line_dedup, mixing, quality, simhash, token_store
+from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, simhash, token_store
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,6 +53,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, folder)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(read(spark, sf_dir, "documents"), shingle=3, distance=3)
     return groups.select("doc_id", "fingerprint", "component_id")
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
+    "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
