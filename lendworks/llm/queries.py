@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, simhash, token_store
+from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, simhash, token_store, topk
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = quality.classify(docs, read(spark, sf_dir, "labels"))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op4_top_k": op4_top_k,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_html_text": op8_html_text,
