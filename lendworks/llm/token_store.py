@@ -6,7 +6,7 @@ ranks. Token i is read by one look at each level: its chunk, its bit, and the ra
 token's place in the next level. No block is decoded for it.
 
 Files are written by Spark's own writer, so a lost executor or a repeated task leaves no half file: a file is
-one segment and a newline. Segments follow ascending document ids, nulls first, over all files.
+a header, segments, and a newline. Segments follow ascending document ids, nulls first, over all files.
 
 Defined results: a null text counts as empty and holds the end id alone. Rows of one id are stored one after
 the other, by text. An empty table makes no segment and an empty result. Other columns are not read.
@@ -29,11 +29,14 @@ from lendworks.llm.bpe import parts
 from lendworks.llm.pieces import PieceCache, as_byte_characters, packed_ids
 
 MAGIC = b"DACTOK01"
-#: Header: magic, documents, ids, levels; big-endian, so that SQL can read the counts.
+FILE_MAGIC = b"DACFILE1"
+#: Header of a segment (magic, documents, ids, levels) and of a file (magic, documents, ids, segments);
+#: big-endian, so that SQL can read the counts.
 HEADER = struct.Struct(">8sQQQ")
 RANK_BITS = 512
-#: Ids in a segment at most, unless one document alone has more.
-SEGMENT_IDS = 4_000_000
+#: Ids in a segment and in a file at most, unless one document alone has more.
+SEGMENT_IDS = 1_000_000
+FILE_IDS = 8_000_000
 
 #: Lower-cased texts of ASCII and Latin-1 letters; their split is the tokenizer's own pattern over them.
 SIMPLE_TEXT = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
@@ -98,11 +101,11 @@ def pack(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes
 class Segment:
     """A packed segment; its arrays are views on the bytes."""
 
-    def __init__(self, data: bytes):
-        magic, self.documents, self.length, levels = HEADER.unpack_from(data)
+    def __init__(self, data: bytes, at: int = 0):
+        magic, self.documents, self.length, levels = HEADER.unpack_from(data, at)
         if magic != MAGIC:
             raise ValueError("not a token segment")
-        self._at = HEADER.size
+        self._at = at + HEADER.size
         self._data = data
         self.doc_ids = self._take("<i8", self.documents)
         self.null_ids = self._take("u1", self.documents)
@@ -121,6 +124,11 @@ class Segment:
         self._at += found.nbytes
         return found
 
+    @property
+    def end(self) -> int:
+        """Where the bytes of the next segment begin."""
+        return self._at
+
     def __len__(self) -> int:
         return self.length
 
@@ -150,44 +158,74 @@ class Segment:
         return higher
 
 
+def segments(data: bytes) -> Iterator[Segment]:
+    """The segments of a file."""
+    magic, _, _, n = HEADER.unpack_from(data)
+    if magic != FILE_MAGIC:
+        raise ValueError("not a token file")
+    at = HEADER.size
+    for _ in range(n):
+        segment = Segment(data, at)
+        at = segment.end
+        yield segment
+
+
+class FileBuilder:
+    """Collects documents into segments, and segments into files."""
+
+    def __init__(self) -> None:
+        self.names: list[int | None] = []
+        self.found: list[bytes] = []
+        self.held = self.documents = self.ids = 0
+        self.done: list[bytes] = []
+
+    def end_segment(self) -> None:
+        if self.found:
+            counts = [len(f) // 4 for f in self.found]
+            self.done.append(pack(self.names, counts, np.frombuffer(b"".join(self.found), np.uint32)))
+            self.documents, self.ids = self.documents + len(counts), self.ids + self.held
+            self.names, self.found, self.held = [], [], 0
+
+    def end_file(self) -> Iterator[pa.RecordBatch]:
+        self.end_segment()
+        if self.done:
+            data = b"".join([HEADER.pack(FILE_MAGIC, self.documents, self.ids, len(self.done)), *self.done])
+            self.done, self.documents, self.ids = [], 0, 0
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["file"])
+
+    def add(self, name: int | None, ids: bytes) -> Iterator[pa.RecordBatch]:
+        n = len(ids) // 4
+        if self.held + n > SEGMENT_IDS:
+            self.end_segment()
+            if self.ids + n > FILE_IDS:
+                yield from self.end_file()
+        self.names.append(name)
+        self.found.append(ids)
+        self.held += n
+
+
 def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
 ) -> None:
-    """Encode all texts and write their ids, ``end_id`` after each, as segment files under ``folder``."""
+    """Encode all texts and write their ids, ``end_id`` after each, as token files under ``folder``."""
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
     )
     # Equal ids are told apart by a hash, so that rows without an id don't meet in one task.
     place = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*place).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    dealt = rows.repartitionByRange(*place).sortWithinPartitions(*place, "text")
     end = packed_ids([end_id])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
-        names: list[int | None] = []
-        found: list[bytes] = []
-        held = 0
-
-        def segment() -> pa.RecordBatch:
-            counts = [len(f) // 4 for f in found]
-            data = pack(names, counts, np.frombuffer(b"".join(found), np.uint32))
-            return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["segment"])
-
+        encoder, builder = word_encoder(path), FileBuilder()
         for batch in slices(batches, 1):
             for name, value in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = encoder.encode(value) + end
-                if found and held + len(ids) // 4 > SEGMENT_IDS:
-                    yield segment()
-                    names, found, held = [], [], 0
-                names.append(name)
-                found.append(ids)
-                held += len(ids) // 4
-        if found:
-            yield segment()
+                yield from builder.add(name, encoder.encode(value) + end)
+        yield from builder.end_file()
 
     # The text writer puts a string's bytes out as they are; one record makes one file.
-    segments = dealt.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value"))
-    segments.write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
+    files = dealt.mapInArrow(run, "file binary").select(F.col("file").cast("string").alias("value"))
+    files.write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,25 +248,27 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, piece, content in zip(*(batch.column(i) for i in range(3))):
-                segment = Segment(content.as_py())
-                ids, starts = segment.ids().astype("<u4"), segment.starts.astype(np.int64)
-                counts = np.diff(starts)
-                sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:])]
-                n = len(counts)
-                columns = [
-                    pa.array(np.full(n, part.as_py())),
-                    pa.array(np.full(n, piece.as_py())),
-                    pa.array(segment.doc_ids, mask=segment.null_ids.astype(bool)),
-                    pa.array(starts[:-1]),
-                    pa.array(counts),
-                    pa.array(sums, pa.int64()),
-                ]
-                names = ["part", "piece", "doc_id", "within", "n_tokens", "ids_crc32"]
-                if with_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int64))))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for part, piece, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                before = 0
+                for segment in segments(content):
+                    ids, starts = segment.ids().astype("<u4"), segment.starts.astype(np.int64)
+                    n = segment.documents
+                    sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:])]
+                    columns = [
+                        pa.array(np.full(n, part)),
+                        pa.array(np.full(n, piece)),
+                        pa.array(segment.doc_ids, mask=segment.null_ids.astype(bool)),
+                        pa.array(before + starts[:-1]),
+                        pa.array(np.diff(starts)),
+                        pa.array(sums, pa.int64()),
+                    ]
+                    names = ["part", "piece", "doc_id", "within", "n_tokens", "ids_crc32"]
+                    if with_ids:
+                        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int64)))
+                        columns.append(lists)
+                        names.append("ids")
+                    before += len(segment)
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "part long, piece long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     stored = files.mapInArrow(run, schema).join(bases, ["part", "piece"])
