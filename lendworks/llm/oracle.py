@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lendworks.llm.queries import CAPTURES
+
 # The eligible texts are compared byte by byte; SHA-256 of the text is part of the result.
 EXACT = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -26,6 +28,49 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+# The same captures; the latest earlier response by comparing all captures of a URL.
+REVISITS = """
+WITH c AS (__CAPTURES__),
+parts AS (
+  SELECT *, regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1) AS raw_host,
+    regexp_replace(regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(regexp_replace(trim(url), '#.*$', ''), '[?](.*)$', 1), '&'), lambda p:
+      p <> '' AND NOT regexp_matches(lower(p), '^(utm_[^=]*|jsessionid|phpsessid|sessionid|sid|ref)(=|$)'))) AS kept
+  FROM c),
+r AS (
+  SELECT record_id, page_id, c, kind, seconds, html,
+    regexp_replace(regexp_replace(lower(raw_host), ':(80|443)$', ''), '^www[.]', '')
+      || CASE WHEN path = '' THEN '/' ELSE path END
+      || CASE WHEN len(kept) = 0 THEN '' ELSE '?' || array_to_string(kept, '&') END AS canonical_url,
+    CASE WHEN kind = 'revisit' AND c > 0 AND page_id % 7 = 3 THEN 'stale'
+         ELSE sum || CASE WHEN kind = 'response' AND c = 2 THEN '-2' ELSE '-1' END END AS tag,
+    kind = 'revisit' AND page_id % 13 = 5 AS dated
+  FROM parts),
+pairs AS (
+  SELECT v.record_id, max_by(p.record_id, p.seconds * 1000000000 + p.record_id) AS refers_to
+  FROM r v JOIN r p ON p.canonical_url = v.canonical_url AND p.kind = 'response' AND p.seconds < v.seconds
+  WHERE v.kind = 'revisit' GROUP BY v.record_id),
+judged AS (
+  SELECT v.*, p.record_id AS found, p.html AS found_html, p.tag AS found_tag,
+    CASE WHEN v.kind = 'response' THEN 'response' WHEN p.record_id IS NULL THEN 'no_earlier_response'
+         WHEN v.dated OR v.tag = p.tag THEN 'resolved' ELSE 'validator_mismatch' END AS resolution
+  FROM r v LEFT JOIN pairs USING (record_id) LEFT JOIN r p ON p.record_id = pairs.refers_to)
+SELECT record_id, kind, canonical_url, seconds, resolution,
+  CASE WHEN resolution = 'resolved' THEN found END AS refers_to,
+  CAST(CASE WHEN resolution IN ('resolved', 'response') THEN 200 ELSE 304 END AS INT) AS status,
+  'cache-control: max-age=' || c
+    || chr(10) || 'content-length: ' || CASE resolution WHEN 'resolved' THEN length(found_html) WHEN 'response' THEN length(html) ELSE 0 END
+    || CASE WHEN resolution IN ('resolved', 'response') THEN chr(10) || 'content-type: text/html' ELSE '' END
+    || chr(10) || 'date: ' || seconds
+    || CASE WHEN NOT dated THEN chr(10) || 'etag: '
+              || CASE WHEN kind = 'revisit' AND page_id % 3 = 0 AND tag <> 'stale' THEN 'W/' ELSE '' END || '"' || tag || '"'
+            WHEN resolution = 'resolved' THEN chr(10) || 'etag: "' || found_tag || '"' ELSE '' END
+    || chr(10) || 'last-modified: Mon, 01 Jan 2024 00:00:00 GMT'
+    || CASE WHEN resolution IN ('resolved', 'response') THEN chr(10) || 'x-served: origin' ELSE '' END AS headers,
+  CASE resolution WHEN 'resolved' THEN found_html WHEN 'response' THEN html END AS payload
+FROM judged
+"""
+
 # P(X <= k) as a running sum; the uniform number is hashed as in the query.
 MIXING = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -51,4 +96,5 @@ FROM documents d JOIN copies n ON d.doc_id IS NOT DISTINCT FROM n.doc_id, range(
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": TOP_K, "op3_mix_sources": MIXING, "op10_exact_dedup": EXACT}
+    captures = CAPTURES.format(pages="(SELECT *, unnest([0, 1, 2]) AS c FROM pages)")
+    return {"op5_revisits": REVISITS.replace("__CAPTURES__", captures), "op4_top_k": TOP_K, "op3_mix_sources": MIXING, "op10_exact_dedup": EXACT}

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, simhash, token_store, topk
+from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, revisits, simhash, token_store, topk
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,6 +45,65 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+# Three captures of every page: first seen, seen again under another spelling of its URL, and seen once more.
+# By page id, a first capture may be missing, a validator stale, weak or a date, and a page may change.
+CAPTURES = """
+SELECT page_id * 4 + c AS record_id, page_id, c,
+  CASE WHEN c = 0 AND page_id % 11 <> 0 OR c = 2 AND page_id % 5 = 0 THEN 'response' ELSE 'revisit' END AS kind,
+  CASE c WHEN 0 THEN url WHEN 1 THEN url || '#again'
+    ELSE regexp_replace(url, '[?].*$', '') || '?utm_medium=feed' || CASE WHEN url LIKE '%?%' THEN '&' ELSE '' END
+      || regexp_replace(url, '^[^?]*[?]?', '') END AS url,
+  1704067200 + (page_id * 37) % 86400 + c * 86400 AS seconds, md5(html) AS sum, html
+FROM {pages}
+"""
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html", F.explode(F.array(*map(F.lit, range(3)))).alias("c"))
+    rows = spark.sql(CAPTURES, pages=pages)
+    full = F.col("kind") == "response"
+    version = F.when(full & (F.col("c") == 2), "2").otherwise("1")
+    tag = F.concat(F.lit('"'), F.col("sum"), F.lit("-"), version, F.lit('"'))
+    tag = (
+        F.when((F.col("c") > 0) & ~full & (F.col("page_id") % 7 == 3), '"stale"')
+        .when(~full & (F.col("page_id") % 3 == 0), F.concat(F.lit("W/"), tag))
+        .otherwise(tag)
+    )
+    dated = ~full & (F.col("page_id") % 13 == 5)
+
+    def line(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), value.alias("value"))
+
+    headers = F.array(
+        line("Date", F.col("seconds").cast("string")),
+        F.when(~dated, line("ETag", tag)),
+        line("Last-Modified", F.lit("Mon, 01 Jan 2024 00:00:00 GMT")),
+        line("Cache-Control", F.concat(F.lit("max-age="), F.col("c").cast("string"))),
+        line("Content-Length", F.when(full, F.length("html").cast("string")).otherwise("0")),
+        F.when(full, line("Content-Type", F.lit("text/html"))),
+        F.when(full, line("X-Served", F.lit("origin"))),
+    )
+    return rows.select(
+        "record_id",
+        "kind",
+        "url",
+        F.timestamp_seconds("seconds").alias("ts"),
+        F.when(full, 200).otherwise(304).alias("status"),
+        F.filter(headers, lambda h: h.isNotNull()).alias("headers"),
+        F.when(full, F.col("sum")).alias("digest"),
+        F.when(full, F.col("html")).alias("payload"),
+    )
+
+
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(captures(spark, sf_dir))
+    seconds = F.unix_seconds("ts").alias("seconds")
+    return found.select(
+        "record_id", "kind", "canonical_url", seconds, "resolution", "refers_to", "status",
+        F.array_join("headers", "\n").alias("headers"), "payload",
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = quality.classify(docs, read(spark, sf_dir, "labels"))
@@ -75,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_top_k": op4_top_k,
+    "op5_revisits": op5_revisits,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_html_text": op8_html_text,
