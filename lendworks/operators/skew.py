@@ -13,21 +13,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendworks.sizing import shuffle_width
 
-HOT_SHARE = 0.001  # share of a table from which a key counts as heavy
-HOT_ROWS = 100_000  # groups below this size never strain a task
-SKETCH_ITEMS = 10_000
+# A key counts as heavy from the mean number of rows in a shuffle task on. The sketch can tell shares down to
+# about its number of items; beyond MOST_HEAVY tasks the share stays at one in MOST_HEAVY.
+MOST_HEAVY = 50_000
+SKETCH_ITEMS = 20  # tracked per key that can qualify
 
 # Starts a join key that belongs to no record, see lookup_join.
 _UNMATCHABLE = "\u0000"
 
 
-def heavy_keys(
-    df: DataFrame,
-    columns: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> dict[str, list]:
-    """Values of each column that fill at least ``share`` and ``min_rows`` of the rows.
+def heavy_keys(df: DataFrame, columns: Sequence[str], share: float | None = None) -> dict[str, list]:
+    """Values of each column that fill at least ``share`` of the rows, by default a shuffle task's share.
 
     One column-pruned pass with a mergeable frequent-items sketch per column: partial sketches are
     built map-side, so nothing but sketches is shuffled. At most ``1/share`` values per column can
@@ -35,13 +31,12 @@ def heavy_keys(
     """
     if not columns:
         return {}
-    limit = int(1 / share)
-    top = [
-        F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {limit}, {max(SKETCH_ITEMS, limit)})").alias(c)
-        for c in columns
-    ]
+    share = share or 1 / min(max(shuffle_width(df.sparkSession), 2), MOST_HEAVY)
+    limit = max(int(1 / share), 1)
+    tracked = min(limit * SKETCH_ITEMS, 1_000_000)
+    top = [F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {limit}, {tracked})").alias(c) for c in columns]
     row = df.select(*columns).agg(F.count(F.lit(1)).alias("_rows"), *top).first()
-    floor = max(share * row["_rows"], min_rows, 1)
+    floor = max(share * row["_rows"], 2)
     return {c: [t["item"] for t in row[c] or [] if t["count"] >= floor] for c in columns}
 
 
@@ -53,13 +48,15 @@ def is_any_of(column: Column, values: Iterable) -> Column:
     return hit | column.isNull() if None in values else hit
 
 
-def _spread(df: DataFrame) -> Column:
-    """A salt that follows the map task, so even identical copies land in different groups.
+def _spread(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A salt from the row's content and its map task.
 
-    It does not depend on row order inside a task, hence a recomputed task yields the same salt.
+    Rows that differ are spread even if one task reads them all; identical copies are spread over the tasks
+    that read them. It does not depend on row order, hence a recomputed task yields the same salt.
     """
     salts = max(shuffle_width(df.sparkSession), 32)
-    return F.pmod(F.spark_partition_id(), F.lit(salts))
+    content = F.xxhash64(*(F.col(f"`{c}`") for c in columns or df.columns))
+    return F.pmod(F.xxhash64(content, F.spark_partition_id()), F.lit(salts))
 
 
 def flag_duplicates(
@@ -71,27 +68,25 @@ def flag_duplicates(
 ) -> DataFrame:
     """Add ``flag``: FALSE for the first row of each key by ``order``, TRUE for all others.
 
-    Rows of ordinary keys take one window. Rows of heavy keys are first ranked per (key, salt);
-    only the best row of each salt then competes for the key while the rest stay spread out, so no
-    task sorts a whole heavy group.
+    One pass over the input. If keys are listed as heavy, their rows carry a salt and all others the salt 0:
+    rows are ranked per (key, salt), and of a heavy key only the best row of each salt then competes
+    for the key while the rest stay spread out, so no task sorts a whole heavy group.
     """
     hot = list(hot)
-    by_key = Window.partitionBy(key).orderBy(*order)
     if not hot:
-        return df.withColumn(flag, F.row_number().over(by_key) > 1)
+        return df.withColumn(flag, F.row_number().over(Window.partitionBy(key).orderBy(*order)) > 1)
 
-    heavy = is_any_of(F.col(key), hot)
-    usual_rows = df.filter(~heavy).withColumn(flag, F.row_number().over(by_key) > 1)
-    salted = df.filter(heavy).withColumn("_salt", _spread(df))
+    salt = F.when(is_any_of(F.col(key), hot), _spread(df) + 1).otherwise(F.lit(0))
     by_salt = Window.partitionBy(key, "_salt").orderBy(*order)
-    finalists = F.when(F.row_number().over(by_salt) == 1, F.lit(-1)).otherwise(F.col("_salt"))
+    # Round -1 decides; what has lost already keeps apart under its salt.
+    lost = F.row_number().over(by_salt) > 1
     by_round = Window.partitionBy(key, "_round").orderBy(*order)
-    heavy_rows = (
-        salted.withColumn("_round", finalists)
+    return (
+        df.withColumn("_salt", salt)
+        .withColumn("_round", F.when(lost, F.col("_salt")).otherwise(F.lit(-1)))
         .withColumn(flag, (F.col("_round") != -1) | (F.row_number().over(by_round) > 1))
         .drop("_salt", "_round")
     )
-    return usual_rows.unionByName(heavy_rows)
 
 
 def lookup_join(
@@ -111,8 +106,11 @@ def lookup_join(
         return df.join(lookup, on, "left").select(*df.columns, *_extra(lookup, on))
 
     extra = _extra(lookup, on)
-    heavy_lookup = lookup.filter(is_any_of(F.col(on), hot)).select(
-        F.col(on).alias("_hot_key"), *(F.col(c).alias(f"_hot_{c}") for c in extra)
+    # A bare IN reaches the scan; NULL matches no lookup row. Grouping keeps it to one row per listed key
+    # even where the lookup's key is not unique after all.
+    listed = lookup.filter(F.col(on).isin(*(v for v in hot if v is not None)))
+    heavy_lookup = listed.groupBy(F.col(on).alias("_hot_key")).agg(
+        F.min(F.struct(*extra)).alias("_hot") if extra else F.count(F.lit(1)).alias("_hot")
     )
     usual_lookup = lookup.withColumnRenamed(on, "_join_key")
     scattered = F.concat(F.lit(_UNMATCHABLE), _spread(df).cast("string"))
@@ -123,7 +121,7 @@ def lookup_join(
         F.broadcast(heavy_lookup), F.col(on) == F.col("_hot_key"), "left"
     )
     return joined.select(
-        *df.columns, *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in extra)
+        *df.columns, *(F.coalesce(F.col("_hot").getField(c), F.col(c)).alias(c) for c in extra)
     )
 
 

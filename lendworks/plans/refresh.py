@@ -14,7 +14,7 @@ from lendworks.plans.checks import check_gold
 from lendworks.plans.gold import LOAN_COLUMNS, GoldLayer, stamped
 from lendworks.plans.reporting import register_staging_views, reporting_marts
 from lendworks.plans.silver import SilverLayer
-from lendworks.sizing import SKEW_PROBE_BYTES, size_session, stored_bytes
+from lendworks.sizing import size_session, stored_bytes
 from lendworks.sources.raw_files import read_raw, row_counts, stamp_bronze
 from lendworks.sources.registry import SOURCES, SourceSpec
 from lendworks.sources.tables import write_rejected_zone, write_table
@@ -117,18 +117,16 @@ def publish_gold(spark: SparkSession, cfg: LakeConfig, layer: GoldLayer) -> dict
 
 
 def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
-    input_bytes = stored_bytes(spark, [cfg.zone("raw")])
-    size_session(spark, input_bytes)
-    probe_skew = input_bytes >= SKEW_PROBE_BYTES
+    size_session(spark, stored_bytes(spark, [cfg.zone("raw")]))
     bronze, missing = load_bronze(spark, cfg)
 
-    silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now(), probe_skew)
+    silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now())
     silver_layer.build()
     silver = publish_silver(spark, cfg, silver_layer)
     rejects = write_table(silver_layer.all_rejects(), cfg, "silver", "rejected_records")
 
     save_stamped = _saver(cfg, lambda df: stamped(df, cfg.now()))
-    gold_layer = GoldLayer(silver_layer, save_stamped, cfg.today(), probe_skew)
+    gold_layer = GoldLayer(silver_layer, save_stamped, cfg.today())
     gold = publish_gold(spark, cfg, gold_layer)
     register_staging_views(gold)
     marts = {

@@ -8,11 +8,7 @@ from pyspark.sql import SparkSession
 
 TARGET_BYTES = 128 * 1024 * 1024  # shuffled data per task
 EXPANSION = 4  # shuffled rows against compressed columnar input
-MOST_PARTITIONS = 32_768  # beyond this the map-output bookkeeping costs more than spilling
 WIDTH = "spark.sql.shuffle.partitions"
-SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
-SCAN_DEFAULTS = ("128MB", "134217728", "134217728b")
-MOST_SCANS = 65_536  # scan tasks per full read of the input
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -21,8 +17,8 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 VERDICT_WRITERS = 4
 
-# Below this much input no key can hold enough rows to strain a task.
-SKEW_PROBE_BYTES = 256 * 1024 * 1024
+# What this module set in which session; a setting that differs from it is the user's.
+_ours: dict[tuple[str, str], str] = {}
 
 
 def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
@@ -41,17 +37,28 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(configured, int(spark.conf.get(INITIAL, None) or 0))
 
 
+def _set_ours(spark: SparkSession, name: str, value: int | None, unset: str | None = None) -> None:
+    """Set or, with None, take back a setting, unless the user made it; ``unset`` is the value of none."""
+    key = spark.sparkContext.applicationId, name
+    now = spark.conf.get(name, None)
+    if now not in (unset, _ours.get(key)):
+        return
+    if value is None:
+        if now == _ours.get(key) and now is not None:
+            spark.conf.unset(name)
+        _ours.pop(key, None)
+    else:
+        spark.conf.set(name, value)
+        _ours[key] = str(value)
+
+
 def size_session(spark: SparkSession, input_bytes: int) -> None:
-    """Fit shuffle width, scan tasks and writers to the input.
+    """Fit shuffle width and writers to the input of the coming run.
 
-    Adaptive execution merges shuffle partitions that stay small. Settings the session made itself
-    are kept, and the configured width is never lowered.
+    Each run is sized anew, whatever an earlier one needed. Adaptive execution merges shuffle partitions
+    that stay small. Settings the session made itself are kept, and the configured width is never lowered.
+    Scan splits stay as configured: their number follows the input.
     """
-    if spark.conf.get(INITIAL, None) is None:
-        wanted = min(-(-input_bytes * EXPANSION // TARGET_BYTES), MOST_PARTITIONS)
-        if wanted > int(spark.conf.get(WIDTH)):
-            spark.conf.set(INITIAL, wanted)
-    if spark.conf.get(SCAN_BYTES) in SCAN_DEFAULTS and input_bytes > MOST_SCANS * TARGET_BYTES:
-        spark.conf.set(SCAN_BYTES, input_bytes // MOST_SCANS)
-    if int(spark.conf.get(WRITERS)) == 0:
-        spark.conf.set(WRITERS, VERDICT_WRITERS)
+    wanted = -(-input_bytes * EXPANSION // TARGET_BYTES)
+    _set_ours(spark, INITIAL, wanted if wanted > int(spark.conf.get(WIDTH)) else None)
+    _set_ours(spark, WRITERS, VERDICT_WRITERS, unset="0")

@@ -7,7 +7,6 @@ lost executor costs a re-read, not a re-run. Files go under the folder the clust
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,13 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for an unconfigured local master."""
+    """The session's checkpoint folder; if there is none, one in the warehouse, which is shared as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="lendworks-")
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
 
 
 class Stage:

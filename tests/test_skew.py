@@ -22,11 +22,20 @@ def skewed(spark):
 
 
 def test_heavy_keys_finds_the_large_groups_only(skewed):
-    assert set(heavy_keys(skewed, ["k"], share=0.01, min_rows=0)["k"]) == {"hot", None}
-    assert heavy_keys(skewed, ["k"]) == {"k": []}  # too few rows to matter
+    assert set(heavy_keys(skewed, ["k"], share=0.01)["k"]) == {"hot", None}
+    # By default the share of one of the session's eight shuffle tasks.
+    assert set(heavy_keys(skewed, ["k"])["k"]) == {"hot", None}
+    assert heavy_keys(skewed.filter("k <> 'hot' OR k IS NULL"), ["k"]) == {"k": [None]}
     assert heavy_keys(skewed, []) == {}
 
 
+def test_every_key_above_a_tasks_share_is_found(spark):
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 4 = 0 THEN id ELSE id % 90 END AS k").selectExpr("CAST(k AS STRING) AS k")
+    found = heavy_keys(df, ["k"], share=0.002)["k"]
+    counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    assert set(found) == {k for k, n in counts.items() if n >= 0.002 * 40_000}
+
+
 def test_heavy_keys_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "k string")
     assert heavy_keys(empty, ["k"]) == {"k": []}
@@ -52,13 +61,32 @@ def test_hot_keys_do_not_change_which_rows_are_duplicates(skewed, hot):
 
 
 def test_no_window_group_holds_a_whole_heavy_key(skewed):
-    """The ranked groups of the heavy key are per task, not per key."""
+    """One pass over the input; the ranked groups of the heavy key are per salt, not per key."""
     spread = flag_duplicates(skewed, "k", [F.col("v").desc()], "dup", ["hot"])
     plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [row_number()") == 3  # usual rows, then two rounds of heavy rows
+    assert plan.count("Window [row_number()") == 2  # per salt, then the salts' best
+    assert plan.count("Range (") == 1
     assert "hashpartitioning(k" in plan and "_salt" in plan
 
 
+def test_a_heavy_key_read_by_one_task_gets_many_salts(spark):
+    from lendworks.operators.skew import _spread
+
+    one_task = spark.range(0, 1000, 1, 1).selectExpr("'hot' AS k", "id AS v")
+    assert one_task.select(_spread(one_task).alias("s")).distinct().count() > 20
+    copies = spark.range(0, 1000, 1, 20).selectExpr("'hot' AS k")
+    assert copies.select(_spread(copies).alias("s")).distinct().count() > 5
+
+
+def test_a_lookup_of_heavy_keys_reaches_the_scan_and_stays_bounded(spark, skewed, tmp_path):
+    lookup = skewed.selectExpr("k", "concat('n-', k) AS name").distinct()
+    lookup.union(lookup).write.parquet(str(tmp_path / "lookup"))
+    stored = spark.read.parquet(str(tmp_path / "lookup"))
+    joined = lookup_join(skewed.filter("k = 'hot'"), stored, "k", ["hot"])
+    assert "In(k, [hot])" in joined._jdf.queryExecution().toString() or "EqualTo(k,hot)" in joined._jdf.queryExecution().toString()
+    assert joined.count() == 1000  # a key that is listed twice in the lookup multiplies nothing
+
+
 @pytest.mark.parametrize("hot", [[], ["hot"], ["hot", None], ["k1", "absent"]])
 def test_lookup_join_keeps_every_row_once(spark, skewed, hot):
     lookup = skewed.select("k").distinct().filter("k is not null and k != 'k5'")
@@ -83,18 +111,22 @@ def test_heavy_rows_of_a_lookup_are_broadcast_and_spread(spark, skewed):
     assert sum(shares) == 1000 and max(shares) < 1000
 
 
-def test_session_is_sized_by_input(spark):
-    before = spark.conf.get(sizing.SCAN_BYTES)
+def test_each_run_is_sized_by_its_input(spark):
+    def width(size):
+        sizing.size_session(spark, size)
+        return sizing.shuffle_width(spark)
+
+    scans = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        sizing.size_session(spark, 10 * 2**20)
-        assert sizing.shuffle_width(spark) == 8
-        assert spark.conf.get(sizing.SCAN_BYTES) == before
-        sizing.size_session(spark, 100 * 2**40)
-        assert sizing.shuffle_width(spark) == sizing.MOST_PARTITIONS
-        assert int(spark.conf.get(sizing.SCAN_BYTES)) == 100 * 2**40 // sizing.MOST_SCANS
-        sizing.size_session(spark, 2**40)  # set before, so kept
-        assert sizing.shuffle_width(spark) == sizing.MOST_PARTITIONS
+        assert width(10 * 2**20) == 8
+        assert width(64 * 2**30) == 2048
+        assert width(100 * 2**40) == 100 * 2**40 * sizing.EXPANSION // sizing.TARGET_BYTES
+        assert width(64 * 2**30) == 2048
+        assert width(10 * 2**20) == 8 and spark.conf.get(sizing.INITIAL, None) is None
+        spark.conf.set(sizing.INITIAL, 500)  # the user's own
+        assert width(64 * 2**30) == 500
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == scans
     finally:
         spark.conf.unset(sizing.INITIAL)
-        spark.conf.unset(sizing.SCAN_BYTES)
+        spark.conf.unset(sizing.WRITERS)
     assert sizing.stored_bytes(spark, ["/nonexistent"]) == 0
