@@ -11,7 +11,7 @@ from lendworks.operators.standardize import standardize
 from lendworks.plans.gold import GoldLayer
 from lendworks.plans.reporting import reporting_marts
 from lendworks.plans.silver import SilverLayer
-from lendworks.sizing import SKEW_PROBE_BYTES, size_session, stored_bytes
+from lendworks.sizing import size_session, stored_bytes
 from lendworks.sources.loan_views import BASE_TABLES, loan_views
 from lendworks.sources.raw_files import read_raw, stamp_bronze, timestamp_literal
 from lendworks.sources.registry import SOURCES
@@ -24,9 +24,9 @@ BATCH = "2026-06-30"
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir
         input_bytes = stored_bytes(spark, (f"{sf_dir}/{t}.parquet" for t in BASE_TABLES))
         size_session(spark, input_bytes)
-        self.probe_skew = input_bytes >= SKEW_PROBE_BYTES
         self.stage = Stage(spark)
         self.now = timestamp_literal(AS_OF)
         self.today = F.lit(AS_OF.date().isoformat()).cast("date")
@@ -41,9 +41,9 @@ class Lake:
             for name, df in self.raw.items()
         }
         self.silver = SilverLayer(
-            self.bronze, self.stage.table, as_at=self.now, probe_skew=self.probe_skew
+            self.bronze, self.stage.table, as_at=self.now
         )
-        self.gold = GoldLayer(self.silver, self.stage.table, self.today, self.probe_skew)
+        self.gold = GoldLayer(self.silver, self.stage.table, self.today)
         self._csv: dict[str, str] = {}
 
     def standard(self, source: str) -> DataFrame:
@@ -72,7 +72,7 @@ class Lake:
         return {s: self.ingested(s) for s in SOURCES}
 
     def hot(self, df: DataFrame, *columns: str) -> dict[str, list]:
-        return heavy_keys(df, columns) if self.probe_skew else {c: [] for c in columns}
+        return heavy_keys(df, columns)
 
     def gold_tables(self) -> dict[str, DataFrame]:
         """All Gold tables, saved like the layers below them."""

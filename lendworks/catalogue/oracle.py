@@ -73,6 +73,31 @@ SELECT trim(delinquency_id) AS delinquency_id, trim(loan_id) AS loan_id, days_pa
        overdue_amount, upper(trim(npa_flag)) AS npa_flag, TRY_CAST(report_date AS DATE) AS report_date
 FROM fx_delinquency"""
 
+# Declared columns
+
+_COLUMNS = {
+    "branch_master": "branch_id branch_name city state region opened_date is_active",
+    "customers": "customer_id customer_name gender dob city state employment_type annual_income "
+    "credit_score created_date",
+    "loan_applications": "application_id customer_id branch_id loan_type requested_amount "
+    "application_date application_status credit_score_at_application decision_reason",
+    "loan_accounts": "loan_id application_id customer_id branch_id loan_type loan_amount "
+    "interest_rate tenure_months loan_start_date loan_status",
+    "emi_payments": "payment_id loan_id emi_due_date emi_paid_date emi_amount paid_amount "
+    "payment_status payment_mode",
+    "delinquency": "delinquency_id loan_id days_past_due overdue_amount npa_flag report_date",
+}
+
+
+def _as_text(source: str, empty: bool = False) -> str:
+    """All declared fields of a record in one text; NULL shows as a question mark, rates as hundredths."""
+    fields = (
+        f"CAST(round({c} * 100) AS BIGINT)" if c == "interest_rate" else c for c in _COLUMNS[source].split()
+    )
+    texts = (f"CAST({f} AS VARCHAR)" for f in fields)
+    return " || '|' || ".join(f"coalesce({f"nullif({t}, '')" if empty else t}, '?')" for t in texts)
+
+
 # Copies of a key, newest first ---------------------------------------------------------------------
 
 _NEWEST = {
@@ -97,6 +122,9 @@ _NEWEST = {
     ),
 }
 for _source, (_key, _order) in _NEWEST.items():
+    # Ties are settled by all other columns, so that the survivor is certain.
+    _named = {part.split()[0] for part in _order.split(",")} | {_key}
+    _order += "".join(f", {c} NULLS FIRST" for c in _COLUMNS[_source].split() if c not in _named)
     CTES[f"rank_{_source}"] = (
         f"SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY {_order}) AS rn "
         f"FROM std_{_source}"
@@ -596,18 +624,6 @@ def _suite() -> list[str]:
     return tests
 
 
-_COLUMNS = {
-    "branch_master": "branch_id branch_name city state region opened_date is_active",
-    "customers": "customer_id customer_name gender dob city state employment_type annual_income "
-    "credit_score created_date",
-    "loan_applications": "application_id customer_id branch_id loan_type requested_amount "
-    "application_date application_status credit_score_at_application decision_reason",
-    "loan_accounts": "loan_id application_id customer_id branch_id loan_type loan_amount "
-    "interest_rate tenure_months loan_start_date loan_status",
-    "emi_payments": "payment_id loan_id emi_due_date emi_paid_date emi_amount paid_amount "
-    "payment_status payment_mode",
-    "delinquency": "delinquency_id loan_id days_past_due overdue_amount npa_flag report_date",
-}
 _GOLD = {
     "customer_loan_summary": "gold_customer",
     "branch_performance_summary": "gold_branch",
@@ -663,7 +679,9 @@ def _queries() -> dict[str, str]:
     q["rule_non_negative"] = _hits("EMI_005", "DLQ_003", "DLQ_004")
     q["rule_domain"] = _hits("BRANCH_003", "APP_006", "LOAN_007", "EMI_006", "DLQ_005")
     q["rule_implication"] = _hits("EMI_007", "DLQ_006")
-    q["dedupe_latest"] = "SELECT * EXCLUDE (rn) FROM rank_emi_payments WHERE rn = 1"
+    q["dedupe_latest"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, {_as_text(s)} AS record FROM rank_{s} WHERE rn = 1" for s in _NEWEST
+    )
     q["rule_unique"] = _hits("BRANCH_002", "CUST_002", "APP_002", "LOAN_002", "EMI_002")
     q["rule_reference"] = _hits("APP_003", "APP_004", "LOAN_003", "LOAN_004", "EMI_003", "DLQ_002")
     q["orphans_anti_join"] = (
@@ -682,8 +700,11 @@ def _queries() -> dict[str, str]:
     )
     for source in _IDS:
         q[f"silver_{source}"] = f"SELECT *, 'SILVER' AS pipeline_layer FROM ok_{source}"
-    q["rejects_envelope"] = (
-        "SELECT *, true AS has_timestamp, record_id AS payload_key FROM bad_emi_payments"
+    q["rejects_envelope"] = " UNION ALL ".join(
+        f"SELECT 'bronze_{s}' AS source_table, {_IDS[s]} AS record_id, '{code}' AS rule_code, "
+        f"'{reason}' AS rejection_reason, true AS at_run_time, {_as_text(s)} AS payload "
+        f"FROM rank_{s} t WHERE {predicate}"
+        for code, (s, reason, predicate) in RULES.items()
     )
     q["rejects_all"] = "SELECT * FROM bad_all"
     q["rejects_by_rule"] = """
@@ -691,16 +712,21 @@ SELECT source_table, rule_code, rejection_reason, count(*) AS rejected_count
 FROM bad_all GROUP BY 1, 2, 3"""
     q["layer_reconcile"] = " UNION ALL ".join(_reconciled(s) for s in _IDS)
 
-    for name in (
-        "g_customer_loans",
-        "g_customer_payments",
-        "g_customer_delinquency",
-        "g_branch_loans",
-        "g_branch_payments",
-        "g_branch_delinquency",
-        "g_loan_payments",
-        "g_loan_delinquency",
-    ):
+    owned = {
+        "g_customer_loans": "total_loans, total_loan_amount, avg_interest_rate, active_loan_count, closed_loan_count, "
+        "defaulted_loan_count",
+        "g_customer_payments": "total_emi_records, total_emi_due, total_amount_paid, paid_emi_count, late_emi_count, "
+        "missed_emi_count, partial_emi_count",
+        "g_customer_delinquency": "max_days_past_due, total_overdue_amount, has_npa_flag",
+        "g_branch_loans": "total_loans, total_borrowers, total_disbursed_amount, avg_interest_rate, active_loans, "
+        "closed_loans, defaulted_loans",
+        "g_branch_payments": "total_emi_due, total_collected_amount, missed_emi_count, late_emi_count",
+        "g_branch_delinquency": "total_overdue_amount, max_days_past_due, npa_records",
+    }
+    for name, measures in owned.items():
+        owner = name.split("_")[1]
+        q[name] = f"SELECT {owner}_id, {measures} FROM {owner}_measures WHERE total_loans > 0"
+    for name in ("g_loan_payments", "g_loan_delinquency"):
         q[name] = f"SELECT * FROM {name}"
     q["safe_pct"] = "SELECT loan_id, collection_rate FROM gold_loan"
     q["status_counts"] = f"""
@@ -752,16 +778,47 @@ FROM gold_loan ORDER BY risk_score DESC, total_overdue_amount DESC, loan_id LIMI
     q["expect_not_null"] = " UNION ALL ".join(
         _nulls("feed", s, f"std_{s}", c) for s, cs in _COLUMNS.items() for c in cs.split()
     )
-    q["expect_unique"] = """
-SELECT payment_id, count(*) AS cnt FROM std_emi_payments GROUP BY payment_id HAVING count(*) > 1"""
-    q["expect_accepted_values"] = """
-SELECT * FROM std_emi_payments
-WHERE payment_status NOT IN ('PAID', 'LATE', 'PARTIAL', 'MISSED')"""
-    q["expect_relationships"] = """
-SELECT d.loan_id, count(*) AS cnt FROM std_delinquency d
-LEFT JOIN std_loan_accounts l ON d.loan_id = l.loan_id
-WHERE l.loan_id IS NULL AND d.loan_id IS NOT NULL GROUP BY d.loan_id"""
-    q["expect_amounts"] = "SELECT * FROM std_loan_accounts WHERE loan_amount <= 0"
+    q["expect_unique"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, {key} AS record_id, count(*) AS cnt FROM std_{s} "
+        f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"
+        for s, key in _IDS.items()
+    )
+    domains = {
+        "branch_master": ("is_active", "'Y', 'N'"),
+        "loan_applications": ("application_status", "'APPROVED', 'REJECTED', 'PENDING'"),
+        "loan_accounts": ("loan_status", "'ACTIVE', 'CLOSED', 'DEFAULTED'"),
+        "emi_payments": ("payment_status", "'PAID', 'LATE', 'PARTIAL', 'MISSED'"),
+        "delinquency": ("npa_flag", "'Y', 'N'"),
+    }
+    q["expect_accepted_values"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, {_IDS[s]} AS record_id, {c} AS value FROM std_{s} WHERE {c} NOT IN ({values})"
+        for s, (c, values) in domains.items()
+    )
+    references = (
+        ("loan_applications", "customer_id", "customers"),
+        ("loan_applications", "branch_id", "branch_master"),
+        ("loan_accounts", "customer_id", "customers"),
+        ("loan_accounts", "branch_id", "branch_master"),
+        ("emi_payments", "loan_id", "loan_accounts"),
+        ("delinquency", "loan_id", "loan_accounts"),
+    )
+    q["expect_relationships"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, '{c}' AS column_name, t.{c} AS value, count(*) AS cnt FROM std_{s} t "
+        f"WHERE t.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM std_{p} p WHERE p.{_IDS[p]} = t.{c}) GROUP BY t.{c}"
+        for s, c, p in references
+    )
+    amounts = (
+        ("customers", "annual_income"),
+        ("loan_applications", "requested_amount"),
+        ("loan_accounts", "loan_amount"),
+        ("emi_payments", "emi_amount"),
+        ("emi_payments", "paid_amount"),
+        ("delinquency", "overdue_amount"),
+    )
+    q["expect_amounts"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, {_IDS[s]} AS record_id, '{c}' AS column_name FROM std_{s} WHERE {c} < 0"
+        for s, c in amounts
+    )
     q["expect_rate_range"] = f"""
 SELECT * FROM (
   SELECT loan_id, {_pct('paid', 'due')} AS collection_rate
@@ -769,15 +826,15 @@ SELECT * FROM (
         FROM std_emi_payments GROUP BY loan_id))
 WHERE collection_rate < 0 OR collection_rate > 100"""
     q["expect_one_row"] = (
-        "SELECT table_name AS model, row_count FROM ("
-        + _counts(_GOLD)
-        + ") WHERE row_count <> 1"
+        f"SELECT model, CAST(row_count <> 1 AS BIGINT) AS failures FROM ({_counts(_GOLD, 'model')})"
     )
     q["expect_suite"] = " UNION ALL ".join(_suite())
 
     feeds = {s: f"fx_{s}" for s in _IDS}
-    q["bronze_ingest_roundtrip"] = (
-        "SELECT *, 'LOAN_ACCOUNTS' AS source_system FROM fx_loan_accounts"
+    q["bronze_ingest_roundtrip"] = " UNION ALL ".join(
+        # An empty field of a CSV file is read as NULL.
+        f"SELECT '{s}' AS feed, {_as_text(s, empty=True)} AS record, '{s.upper()}' AS source_system FROM {cte}"
+        for s, cte in feeds.items()
     )
     q["bronze_audit"] = " UNION ALL ".join(
         f"SELECT 'BRONZE' AS pipeline_layer, '{s.upper()}' AS source_system, "
@@ -797,21 +854,22 @@ WHERE collection_rate < 0 OR collection_rate > 100"""
     )
     q["source_arrival"] = " UNION ALL ".join(
         f"SELECT '{s}' AS source, count(*) > 0 AS has_files, count(*) AS rows, "
-        f"count(*) = 0 AS is_missing FROM {cte}"
+        f"count(*) = 0 AS is_missing FROM {cte}" + " WHERE false" * (s == "delinquency")
         for s, cte in feeds.items()
     )
     expected = {
-        "branch_master": (15, 0.0),
-        "customers": (202, 0.0),
-        "loan_applications": (300, 0.0),
-        "loan_accounts": (214, 0.05),
-        "emi_payments": (1286, 0.05),
-        "delinquency": (199, 0.05),
+        "branch_master": ("supplier", 0.0),
+        "customers": ("customer", 0.02),
+        "loan_applications": ("orders", 0.0),
+        "loan_accounts": ("orders", 0.05),
+        "emi_payments": ("lineitem", 0.05),
+        "delinquency": ("events", 0.05),
     }
     q["volume_check"] = " UNION ALL ".join(
-        f"SELECT '{s}' AS source, CAST({n} AS BIGINT) AS expected_rows, count(*) AS actual_rows, "
-        f"abs(count(*) - {n}) <= CAST({n} * {tol} AS DOUBLE) AS within_expectation FROM {feeds[s]}"
-        for s, (n, tol) in expected.items()
+        f"SELECT '{s}' AS source, (SELECT count(*) FROM {base}) AS expected_rows, count(*) AS actual_rows, "
+        f"abs(count(*) - (SELECT count(*) FROM {base})) <= CAST((SELECT count(*) FROM {base}) * {tol} AS DOUBLE) "
+        f"AS within_expectation FROM {feeds[s]}"
+        for s, (base, tol) in expected.items()
     )
     q["publish_reconcile"] = " UNION ALL ".join(
         f"SELECT 'gold_{n}' AS source_table, 'GOLD_{n.upper()}' AS target_table, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendworks.catalogue.lake import BATCH, Lake, lake
 from lendworks.functions import risk
@@ -24,7 +24,7 @@ from lendworks.plans import gold as marts
 from lendworks.plans import reporting
 from lendworks.plans.checks import check_gold
 from lendworks.sources import raw_files
-from lendworks.sources.registry import SOURCES
+from lendworks.sources.registry import SOURCES, SourceSpec
 from lendworks.sources.tables import ReportingStore, publish, publish_reconcile
 from lendworks.streaming.incremental import append_new_files, raw_file_stream
 
@@ -46,6 +46,16 @@ def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _as_text(spec: SourceSpec) -> Column:
+    """All declared fields of a record in one text; NULL shows as a question mark, rates as hundredths."""
+    fields = (F.round(F.col(c) * 100).cast("bigint") if c == "interest_rate" else F.col(c) for c in spec.columns)
+    return F.concat_ws("|", *(F.coalesce(f.cast("string"), F.lit("?")) for f in fields))
+
+
+def _types(lk: Lake, source: str) -> list[tuple[str, str]]:
+    return lk.declared(source).dtypes
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """Float averages to ten decimals, since summation order moves the last digits."""
     return df.withColumn("avg_interest_rate", F.round("avg_interest_rate", 10))
@@ -100,10 +110,15 @@ for _name, _kind in {
 
 
 @query("dedupe_latest")
-def latest_payments(lk: Lake) -> DataFrame:
-    spec = SOURCES["emi_payments"]
-    rows = lk.standard(spec.name)
-    return dedupe_latest(rows, spec, lk.hot(rows, spec.key)[spec.key]).select(*spec.columns)
+def latest_records(lk: Lake) -> DataFrame:
+    """The surviving copies of every deduplicated feed, in full as JSON."""
+
+    def latest(name, spec):
+        rows = lk.standard(name)
+        kept = dedupe_latest(rows, spec, lk.hot(rows, spec.key)[spec.key])
+        return _feed(name, kept.select(_as_text(spec).alias("record")))
+
+    return _union(latest(n, s) for n, s in SOURCES.items() if s.deduplicated)
 
 
 @query("rule_unique")
@@ -173,14 +188,21 @@ for _source in SOURCES:
 
 @query("rejects_envelope")
 def rejects_envelope(lk: Lake) -> DataFrame:
-    return lk.silver.rejects("emi_payments").select(
-        "source_table",
-        "record_id",
-        "rule_code",
-        "rejection_reason",
-        F.col("rejected_timestamp").isNotNull().alias("has_timestamp"),
-        F.get_json_object("raw_record_json", "$.payment_id").alias("payload_key"),
-    )
+    """Rejects of all feeds, with every declared field read back from the payload."""
+
+    def envelope(name, spec):
+        payload = F.from_json("raw_record_json", ", ".join(f"{c} {t}" for c, t in _types(lk, name)))
+        opened = lk.silver.rejects(name).withColumn("p", payload).select("*", "p.*")
+        return opened.select(
+            "source_table",
+            "record_id",
+            "rule_code",
+            "rejection_reason",
+            (F.col("rejected_timestamp") == lk.now).alias("at_run_time"),
+            _as_text(spec).alias("payload"),
+        )
+
+    return _union(envelope(n, s) for n, s in SOURCES.items())
 
 
 @query("rejects_all")
@@ -203,38 +225,35 @@ def layer_reconcile(lk: Lake) -> DataFrame:
 # Gold --------------------------------------------------------------------------------------------
 
 
-def _loans(lk: Lake) -> DataFrame:
-    return lk.silver.table("loan_accounts")
-
-
-@query("g_customer_loans")
-def g_customer_loans(lk: Lake) -> DataFrame:
-    return _rounded(rollups.customer_loans(_loans(lk)))
-
-
-@query("g_customer_payments")
-def g_customer_payments(lk: Lake) -> DataFrame:
-    return rollups.customer_payments(lk.gold.loan_payments(), _loans(lk))
-
-
-@query("g_customer_delinquency")
-def g_customer_delinquency(lk: Lake) -> DataFrame:
-    return rollups.customer_delinquency(lk.gold.loan_delinquency(), _loans(lk))
-
-
-@query("g_branch_loans")
-def g_branch_loans(lk: Lake) -> DataFrame:
-    return _rounded(rollups.branch_loans(_loans(lk)))
-
-
-@query("g_branch_payments")
-def g_branch_payments(lk: Lake) -> DataFrame:
-    return rollups.branch_payments(lk.gold.loan_payments(), _loans(lk))
-
-
-@query("g_branch_delinquency")
-def g_branch_delinquency(lk: Lake) -> DataFrame:
-    return rollups.branch_delinquency(lk.gold.loan_delinquency(), _loans(lk))
+def _part(name: str, book: Callable[[DataFrame], DataFrame], key: str, *columns: str) -> None:
+    """Part of the measures that a mart reads, for every owner of a loan."""
+    query(name)(lambda lk: _rounded(book(lk.gold.loan_risk())).select(key, *columns))
+
+
+_part(
+    "g_customer_loans", rollups.customer_book, "customer_id", "total_loans", "total_loan_amount",
+    "avg_interest_rate", *rollups.LOAN_STATUS.values(),
+)
+_part(
+    "g_customer_payments", rollups.customer_book, "customer_id", "total_emi_records", "total_emi_due",
+    "total_amount_paid", "paid_emi_count", "late_emi_count", "missed_emi_count", "partial_emi_count",
+)
+_part(
+    "g_customer_delinquency", rollups.customer_book, "customer_id", "max_days_past_due",
+    "total_overdue_amount", "has_npa_flag",
+)
+_part(
+    "g_branch_loans", rollups.branch_book, "branch_id", "total_loans", "total_borrowers",
+    "total_disbursed_amount", "avg_interest_rate", "active_loans", "closed_loans", "defaulted_loans",
+)
+_part(
+    "g_branch_payments", rollups.branch_book, "branch_id", "total_emi_due", "total_collected_amount",
+    "missed_emi_count", "late_emi_count",
+)
+_part(
+    "g_branch_delinquency", rollups.branch_book, "branch_id", "total_overdue_amount", "max_days_past_due",
+    "npa_records",
+)
 
 
 @query("g_loan_payments")
@@ -261,7 +280,8 @@ def payment_status_counts(lk: Lake) -> DataFrame:
 
 @query("zero_fill")
 def customers_zero_filled(lk: Lake) -> DataFrame:
-    per_customer = rollups.customer_loans(_loans(lk)).drop("avg_interest_rate")
+    counted = ("total_loans", "total_loan_amount", *rollups.LOAN_STATUS.values())
+    per_customer = rollups.customer_book(lk.gold.loan_risk()).select("customer_id", *counted)
     customers = lk.silver.table("customers").select("customer_id", "customer_name")
     joined = customers.join(per_customer, "customer_id", "left")
     return zero_fill(joined, [c for c in per_customer.columns if c != "customer_id"])
@@ -346,42 +366,67 @@ def expect_not_null(lk: Lake) -> DataFrame:
     return expect.run_suite(checks, {s: lk.declared(s) for s in SOURCES})
 
 
+def _feed(name: str, df: DataFrame) -> DataFrame:
+    return df.select(F.lit(name).alias("feed"), "*")
+
+
 @query("expect_unique")
 def expect_unique(lk: Lake) -> DataFrame:
-    return expect.duplicate_keys(lk.declared("emi_payments"), "payment_id")
+    def repeated(name, spec):
+        keys = lk.declared(name).withColumnRenamed(spec.key, "record_id")
+        return _feed(name, expect.duplicate_keys(keys, "record_id"))
+
+    return _union(repeated(n, s) for n, s in SOURCES.items())
 
 
 @query("expect_accepted_values")
 def expect_accepted_values(lk: Lake) -> DataFrame:
-    statuses = tuple(rollups.PAYMENT_STATUS)
-    return expect.unexpected_values(lk.declared("emi_payments"), "payment_status", statuses)
+    """Values outside their domain, for every domain that a feed declares."""
+
+    def outside(name, spec, rule):
+        test = expect.Expectation("feed", name, "accepted_values", rule.column, rule.values)
+        failing = expect.failing_rows(lk.declared(name), test)
+        return _feed(name, failing.select(F.col(spec.key).alias("record_id"), F.col(rule.column).alias("value")))
+
+    return _union(outside(n, s, r) for n, s in SOURCES.items() for r in s.rules if r.kind == "one_of")
 
 
 @query("expect_relationships")
 def expect_relationships(lk: Lake) -> DataFrame:
-    loans = lk.declared("loan_accounts")
-    return expect.unmatched_keys(lk.declared("delinquency"), "loan_id", loans, "loan_id")
+    def unmatched(name, column, parent):
+        found = expect.unmatched_keys(lk.declared(name), column, lk.declared(parent), SOURCES[parent].key)
+        return _feed(name, found.select(F.lit(column).alias("column_name"), F.col(column).alias("value"), "cnt"))
+
+    return _union(unmatched(n, c, p) for n, s in SOURCES.items() for c, p in s.references.items())
 
 
 @query("expect_amounts")
 def expect_amounts(lk: Lake) -> DataFrame:
-    return expect.amounts_below(lk.declared("loan_accounts"), "loan_amount", inclusive=False)
+    """Negative amounts of every feed that has amounts."""
+
+    def negative(name, spec, column):
+        test = expect.Expectation("feed", name, "non_negative", column)
+        failing = expect.failing_rows(lk.declared(name), test)
+        return _feed(name, failing.select(F.col(spec.key).alias("record_id"), F.lit(column).alias("column_name")))
+
+    return _union(
+        negative(n, s, c) for n, s in SOURCES.items() for c in s.columns if c.endswith("_amount") or c == "annual_income"
+    )
 
 
 @query("expect_rate_range")
 def expect_rate_range(lk: Lake) -> DataFrame:
     per_loan = rollups.loan_payments(lk.declared("emi_payments"))
     rate = safe_pct("total_amount_paid", "total_emi_due").alias("collection_rate")
-    return expect.rates_outside(per_loan.select("loan_id", rate), "collection_rate")
+    test = expect.Expectation("feed", "emi_payments", "rate_range", "collection_rate", (0, 100))
+    return expect.failing_rows(per_loan.select("loan_id", rate), test)
 
 
 @query("expect_one_row")
 def expect_one_row(lk: Lake) -> DataFrame:
     tables = lk.gold_tables()
-    return _union(
-        expect.wrong_row_count(df, 1).select(F.lit(n).alias("model"), "row_count")
-        for n, df in tables.items()
-    )
+    checks = [expect.Expectation("gold", n, "row_count", "", (1,)) for n in tables]
+    return expect.run_suite(checks, tables).select("model", "failures")
 
 
 @query("expect_suite")
@@ -394,7 +439,10 @@ def expect_suite(lk: Lake) -> DataFrame:
 
 @query("bronze_ingest_roundtrip")
 def bronze_ingest_roundtrip(lk: Lake) -> DataFrame:
-    return lk.ingested("loan_accounts").select(*SOURCES["loan_accounts"].columns, "source_system")
+    """Every field of every feed as read back from raw files."""
+    return _union(
+        _feed(n, lk.ingested(n).select(_as_text(s).alias("record"), "source_system")) for n, s in SOURCES.items()
+    )
 
 
 def _audited(lk: Lake) -> DataFrame:
@@ -419,13 +467,27 @@ def row_counts(lk: Lake) -> DataFrame:
 
 @query("source_arrival")
 def source_arrival(lk: Lake) -> DataFrame:
-    arrivals = raw_files.source_arrival(lk.spark, lk.all_ingested())
+    """One feed is left out, as if it had not arrived."""
+    arrived = {n: df for n, df in lk.all_ingested().items() if n != "delinquency"}
+    arrivals = raw_files.source_arrival(lk.spark, arrived)
     return arrivals.select("source", (F.col("files") > 0).alias("has_files"), "rows", "is_missing")
 
 
 @query("volume_check")
 def volume_check(lk: Lake) -> DataFrame:
-    return raw_files.volume_check(lk.spark, raw_files.row_counts(lk.all_ingested()))
+    """Expected are the rows of the tables that the feeds are made of, which some feeds keep to and some don't."""
+    of = {
+        "branch_master": ("supplier", 0.0),
+        "customers": ("customer", 0.02),
+        "loan_applications": ("orders", 0.0),
+        "loan_accounts": ("orders", 0.05),
+        "emi_payments": ("lineitem", 0.05),
+        "delinquency": ("events", 0.05),
+    }
+    tables = {t: lk.spark.read.parquet(f"{lk.sf_dir}/{t}.parquet") for t, _ in of.values()}
+    found = {r["table_name"]: r["row_count"] for r in raw_files.row_counts(tables).collect()}
+    expected = {s: (found[t], tolerance) for s, (t, tolerance) in of.items()}
+    return raw_files.volume_check(lk.spark, raw_files.row_counts(lk.all_ingested()), expected)
 
 
 @query("publish_reconcile")

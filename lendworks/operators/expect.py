@@ -9,10 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def null_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
-
-
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """Non-NULL values that occur more than once, with their number of rows."""
     return (
@@ -23,10 +19,6 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def unexpected_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    return df.filter(~F.col(column).isin(*values))
-
-
 def unmatched_keys(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-NULL values without a parent row, with their number of child rows.
 
@@ -39,21 +31,6 @@ def unmatched_keys(df: DataFrame, column: str, parent: DataFrame, parent_column:
     return children.join(parents, column, "left_anti")
 
 
-def amounts_below(df: DataFrame, column: str, minimum: float = 0, inclusive: bool = True) -> DataFrame:
-    """Rows under the minimum; with ``inclusive=False`` the minimum itself fails as well."""
-    c = F.col(column)
-    return df.filter(c < minimum if inclusive else c <= minimum)
-
-
-def rates_outside(df: DataFrame, column: str, low: float = 0, high: float = 100) -> DataFrame:
-    return df.filter((F.col(column) < low) | (F.col(column) > high))
-
-
-def wrong_row_count(df: DataFrame, expected: int) -> DataFrame:
-    """The actual row count as one row if it differs from ``expected``, else no row."""
-    return df.agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") != expected)
-
-
 @dataclass(frozen=True)
 class Expectation:
     suite: str
@@ -77,6 +54,11 @@ def _condition(e: Expectation) -> Column:
     raise ValueError(e.test)
 
 
+def failing_rows(df: DataFrame, e: Expectation) -> DataFrame:
+    """The rows that a test decided row by row counts as failures."""
+    return df.filter(_condition(e))
+
+
 ROW_TESTS = ("not_null", "accepted_values", "non_negative", "rate_range")
 
 

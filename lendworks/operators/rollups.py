@@ -9,12 +9,9 @@ Keys of Silver tables are unique, so counting rows equals counting distinct keys
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendworks.functions.measures import safe_pct, status_counts, zero_fill
-from lendworks.operators.skew import lookup_join
 
 # Output names of the per-status counts.
 LOAN_STATUS = {
@@ -70,23 +67,6 @@ def loan_book(loans: DataFrame, by_loan: DataFrame, delinquency_by_loan: DataFra
     return zero_fill(joined, (*PAYMENT_TOTALS, *DELINQUENCY_TOTALS))
 
 
-def customer_loans(loans: DataFrame) -> DataFrame:
-    return loans.groupBy("customer_id").agg(
-        _rows().alias("total_loans"),
-        F.sum("loan_amount").alias("total_loan_amount"),
-        F.avg("interest_rate").alias("avg_interest_rate"),
-        *status_counts("loan_status", LOAN_STATUS),
-    )
-
-
-def _owned(by_loan: DataFrame, loans: DataFrame, owner: str) -> DataFrame:
-    return by_loan.join(loans.select("loan_id", owner), "loan_id")
-
-
-def customer_payments(by_loan: DataFrame, loans: DataFrame) -> DataFrame:
-    return _owned(by_loan, loans, "customer_id").groupBy("customer_id").agg(*_payment_measures())
-
-
 def _payment_measures() -> list[Column]:
     return [
         *_sums(("total_emi_records", "total_emi_due", "total_amount_paid")),
@@ -105,11 +85,6 @@ def _delinquency_measures() -> list[Column]:
     ]
 
 
-def customer_delinquency(delinquency_by_loan: DataFrame, loans: DataFrame) -> DataFrame:
-    owned = _owned(delinquency_by_loan, loans, "customer_id")
-    return owned.groupBy("customer_id").agg(*_delinquency_measures())
-
-
 def _branch_loan_measures() -> list[Column]:
     return [
         _rows().alias("total_loans"),
@@ -140,21 +115,8 @@ def _branch_delinquency_measures() -> list[Column]:
     ]
 
 
-def branch_loans(loans: DataFrame) -> DataFrame:
-    return loans.groupBy("branch_id").agg(*_branch_loan_measures())
-
-
-def branch_payments(by_loan: DataFrame, loans: DataFrame) -> DataFrame:
-    return _owned(by_loan, loans, "branch_id").groupBy("branch_id").agg(*_branch_payment_measures())
-
-
-def branch_delinquency(delinquency_by_loan: DataFrame, loans: DataFrame) -> DataFrame:
-    owned = _owned(delinquency_by_loan, loans, "branch_id")
-    return owned.groupBy("branch_id").agg(*_branch_delinquency_measures())
-
-
 def customer_book(book: DataFrame) -> DataFrame:
-    """All customer-level measures in one aggregation over the loan book."""
+    """All customer-level measures in one aggregation over the loan book; customers with loans only."""
     return book.groupBy("customer_id").agg(
         _rows().alias("total_loans"),
         F.sum("loan_amount").alias("total_loan_amount"),
@@ -193,9 +155,3 @@ def monthly_collection(payments: DataFrame) -> DataFrame:
         safe_pct("total_amount_paid", "total_emi_due").alias("collection_rate"),
         safe_pct("missed_count", "total_emi_records").alias("missed_rate"),
     )
-
-
-def with_loan_type(payments: DataFrame, loans: DataFrame, hot: Iterable = ()) -> DataFrame:
-    """Look the loan type up for payments that do not carry it; orphans are left out."""
-    typed = lookup_join(payments, loans.select("loan_id", "loan_type"), "loan_id", hot)
-    return typed.filter(F.col("loan_type").isNotNull())

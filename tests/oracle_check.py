@@ -1,6 +1,6 @@
 """Run every registered query against its SQL oracle: python tests/oracle_check.py SF_DIR [names].
 
-FORCE_SKEW=1 treats every key above the share threshold as heavy, however small the tables are.
+HOT_SHARE=0.0001 lists every key above that share as heavy; by default it is the share of a shuffle task.
 """
 
 from __future__ import annotations
@@ -47,21 +47,14 @@ def differences(spark_df, con, sql: str) -> str | None:
     return f"types {kinds}" if kinds else None
 
 
-def force_skew_handling() -> None:
-    import lendworks.catalogue.lake as lake_module
-    import lendworks.operators.skew as skew
-
-    lake_module.SKEW_PROBE_BYTES = 0
-    skew.heavy_keys.__defaults__ = (float(os.environ.get("HOT_SHARE", skew.HOT_SHARE)), 2)
-
-
 def main() -> None:
     import __spark_entry__ as e
+    from lendworks.operators import skew
     from tests.conftest import build_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    if os.environ.get("FORCE_SKEW") == "1":
-        force_skew_handling()
+    if "HOT_SHARE" in os.environ:
+        skew.heavy_keys.__defaults__ = (float(os.environ["HOT_SHARE"]),)
     spark, con = build_session(), duck(sf_dir)
     oracles = e.oracle_sql()
     bad = 0

@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from lendworks.catalogue import oracle
+from lendworks.catalogue.queries import QUERIES
 from tests.oracle_check import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,10 +16,11 @@ def duckdb_tables():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_oracle(spark, duckdb_tables, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert differences(df, duckdb_tables, entry_points.oracle_sql()[name]) is None

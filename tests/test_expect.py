@@ -17,16 +17,19 @@ def table(spark):
 
 
 def test_single_expectations(spark, table):
-    assert expect.null_rows(table, "k").count() == 2
     assert rows(expect.duplicate_keys(table, "k")) == [("a", 2)]  # NULL keys are not duplicates
-    assert expect.unexpected_values(table, "v", ("X", "Y")).count() == 2
     parent = spark.createDataFrame([("a",)], "id string")
     assert rows(expect.unmatched_keys(table, "k", parent, "id")) == [("b", 1)]
-    assert expect.amounts_below(table, "r").count() == 1
-    assert expect.amounts_below(table, "r", 50, inclusive=False).count() == 2
-    assert expect.rates_outside(table, "r").count() == 2
-    assert rows(expect.wrong_row_count(table, 1)) == [(5,)]
-    assert expect.wrong_row_count(table, 5).count() == 0
+
+
+@pytest.mark.parametrize(
+    "test,column,values,failing",
+    [("not_null", "k", (), 2), ("accepted_values", "v", ("X", "Y"), 2), ("non_negative", "r", (), 1), ("rate_range", "r", (0, 100), 2)],
+)
+def test_rows_that_fail_are_those_the_suite_counts(table, test, column, values, failing):
+    e = Expectation("s", "t", test, column, values)
+    assert expect.failing_rows(table, e).count() == failing
+    assert run_suite([e], {"t": table}).first()["failures"] == failing
 
 
 def test_suite_counts_failures_of_all_kinds(spark, table):

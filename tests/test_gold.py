@@ -179,19 +179,6 @@ def test_monthly_mart_keeps_payments_without_a_due_month(gold, silver):
         ("2024-05", "HOME_LOAN", 1, 1, 100.0, 0.0),
         (None, "AUTO_LOAN", 1, 1, 100.0, 0.0),
     ]
-    looked_up = rollups.with_loan_type(silver.table("emi_payments"), silver.table("loan_accounts"))
-    again = rollups.monthly_collection(looked_up)
-    assert rows(again) == rows(gold.monthly_collection_summary())
-
-
-def test_standalone_aggregates_agree_with_the_roll_up(gold, silver):
-    loans = silver.table("loan_accounts")
-    direct = rollups.customer_payments(gold.loan_payments(), loans)
-    rolled = gold.customer_loan_summary().select(*direct.columns).filter("total_emi_records > 0")
-    assert rows(direct) == rows(rolled)
-    direct = rollups.branch_delinquency(gold.loan_delinquency(), loans)
-    rolled = gold.branch_performance_summary().select(*direct.columns).filter("npa_records > 0")
-    assert rows(direct) == rows(rolled)
 
 
 def test_empty_portfolio_still_has_one_kpi_row(gold):
