@@ -707,6 +707,7 @@ def _queries() -> dict[str, str]:
         for code, (s, reason, predicate) in RULES.items()
     )
     q["rejects_all"] = "SELECT * FROM bad_all"
+    q["rejected_zone"] = "SELECT * FROM bad_all"
     q["rejects_by_rule"] = """
 SELECT source_table, rule_code, rejection_reason, count(*) AS rejected_count
 FROM bad_all GROUP BY 1, 2, 3"""
@@ -836,6 +837,21 @@ WHERE collection_rate < 0 OR collection_rate > 100"""
         f"SELECT '{s}' AS feed, {_as_text(s, empty=True)} AS record, '{s.upper()}' AS source_system FROM {cte}"
         for s, cte in feeds.items()
     )
+    numbers = {
+        "int": "annual_income credit_score requested_amount credit_score_at_application loan_amount tenure_months emi_amount "
+        "paid_amount days_past_due overdue_amount",
+        "double": "interest_rate",
+    }
+    kinds = {c: kind for kind, columns in numbers.items() for c in columns.split()}
+    q["source_schemas"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS feed, '{c}' AS column_name, '{kinds.get(c, 'string')}' AS type, "
+        f"count(nullif(CAST({c} AS VARCHAR), '')) AS filled FROM {feeds[s]}"
+        for s, columns in _COLUMNS.items()
+        for c in columns.split()
+    )
+    q["gold_audit"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS audited_count FROM {cte}" for t, cte in _GOLD.items()
+    )
     q["bronze_audit"] = " UNION ALL ".join(
         f"SELECT 'BRONZE' AS pipeline_layer, '{s.upper()}' AS source_system, "
         f"'2026-06-30' AS batch_id, count(*) AS record_count, count(*) AS audited_count FROM {cte}"

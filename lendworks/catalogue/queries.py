@@ -25,7 +25,7 @@ from lendworks.plans import reporting
 from lendworks.plans.checks import check_gold
 from lendworks.sources import raw_files
 from lendworks.sources.registry import SOURCES, SourceSpec
-from lendworks.sources.tables import ReportingStore, publish, publish_reconcile
+from lendworks.sources.tables import ReportingStore, publish, publish_reconcile, write_rejected_zone
 from lendworks.streaming.incremental import append_new_files, raw_file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,6 +212,15 @@ def rejects_all(lk: Lake) -> DataFrame:
     )
 
 
+@query("rejected_zone")
+def rejected_zone(lk: Lake) -> DataFrame:
+    """Rejects read back from their zone of files."""
+    target = lk.stage.folder("rejected_zone")
+    write_rejected_zone(lk.silver.all_rejects(), target)
+    stored = lk.spark.read.parquet(target)
+    return stored.select("source_table", "record_id", "rule_code", "rejection_reason")
+
+
 @query("rejects_by_rule")
 def rejects_per_rule(lk: Lake) -> DataFrame:
     return rejects_by_rule(lk.silver.all_rejects())
@@ -325,6 +334,19 @@ query("gold_customer_risk_score")(
 )
 
 
+@query("gold_audit")
+def gold_audit(lk: Lake) -> DataFrame:
+    """Rows of every Gold table, and those that carry the layer and the run's time."""
+
+    def audited(name, df):
+        right = (F.col("pipeline_layer") == "GOLD") & (F.col("gold_processed_timestamp") == lk.now)
+        return marts.stamped(df, lk.now).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count_if(right).alias("audited_count")
+        )
+
+    return _union(audited(n, df) for n, df in lk.gold_tables().items())
+
+
 # Reports and reporting marts ---------------------------------------------------------------------
 
 query("top_customers")(lambda lk: reporting.top_customers(lk.gold.customer_loan_summary()))
@@ -445,6 +467,24 @@ def bronze_ingest_roundtrip(lk: Lake) -> DataFrame:
     )
 
 
+@query("source_schemas")
+def source_schemas(lk: Lake) -> DataFrame:
+    """Declared columns with the types they are read under, and how many values each has."""
+
+    def described(name, spec):
+        rows = lk.ingested(name).select(*spec.columns)
+        filled = rows.agg(*(F.count(c).alias(c) for c in spec.columns))
+        listed = F.array(
+            *(
+                F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.col(c).alias("filled"))
+                for c, t in rows.dtypes
+            )
+        )
+        return _feed(name, filled.select(F.inline(listed)))
+
+    return _union(described(n, s) for n, s in SOURCES.items())
+
+
 def _audited(lk: Lake) -> DataFrame:
     audit = ("source_file_name", "ingestion_timestamp", "load_date", "pipeline_layer")
     return _union(

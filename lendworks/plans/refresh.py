@@ -6,18 +6,22 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendworks.config import LakeConfig
 from lendworks.operators.validate import ACCEPTED, silver_columns
 from lendworks.plans.checks import check_gold
 from lendworks.plans.gold import LOAN_COLUMNS, GoldLayer, stamped
-from lendworks.plans.reporting import register_staging_views, reporting_marts
+from lendworks.plans.reporting import STAGING_VIEWS, reporting_marts
 from lendworks.plans.silver import SilverLayer
 from lendworks.sizing import size_session, stored_bytes
-from lendworks.sources.raw_files import read_raw, row_counts, stamp_bronze
+from lendworks.sources.raw_files import CORRUPT, read_raw, row_counts, stamp_bronze
 from lendworks.sources.registry import SOURCES, SourceSpec
-from lendworks.sources.tables import write_rejected_zone, write_table
+from lendworks.sources.tables import Release, write_rejected_zone
+
+
+class MissingFeeds(Exception):
+    """Feeds have not arrived; nothing was written or published."""
 
 
 @dataclass
@@ -29,7 +33,9 @@ class Refresh:
     gold: dict[str, DataFrame]
     marts: dict[str, DataFrame]
     rejects: DataFrame
+    malformed: DataFrame
     missing_sources: list[str]
+    rejected_zone: str
 
     def counts(self) -> DataFrame:
         tables = {f"bronze_{n}": df for n, df in self.bronze.items()}
@@ -47,47 +53,51 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def _bronze_rows(spark: SparkSession, cfg: LakeConfig, spec: SourceSpec, arrived: bool) -> DataFrame:
-    """The source's raw rows, or no rows under the same schema if its folder is missing."""
+def _bronze_rows(spark: SparkSession, cfg: LakeConfig, spec: SourceSpec, arrived: bool, on_missing: str) -> DataFrame:
+    """The source's rows with the text of malformed lines; those of the last release if its folder is missing."""
+    published = cfg.table("bronze", spec.name)
+    if not arrived and on_missing == "keep" and spark.catalog.tableExists(published):
+        return spark.table(published).withColumn(CORRUPT, F.lit(None).cast("string"))
     if arrived:
-        raw = read_raw(spark, spec, cfg.raw(spec.name))
+        raw = read_raw(spark, spec, cfg.raw(spec.name), keep_corrupt=True)
     else:
-        raw = spark.createDataFrame([], spec.schema).selectExpr("*", "'' AS source_file_name")
-    return stamp_bronze(raw, spec, cfg.now(), cfg.today(), cfg.batch_id)
+        raw = spark.createDataFrame([], spec.schema.add(CORRUPT, "string")).selectExpr("*", "'' AS source_file_name")
+    stamped_rows = stamp_bronze(raw.drop(CORRUPT), spec, cfg.now(), cfg.today(), cfg.batch_id).columns
+    return stamp_bronze(raw, spec, cfg.now(), cfg.today(), cfg.batch_id).select(*stamped_rows, CORRUPT)
 
 
-def load_bronze(spark: SparkSession, cfg: LakeConfig) -> tuple[dict[str, DataFrame], list[str]]:
-    """Write all Bronze tables; a missing source is reported and loaded empty."""
-    missing = [s for s in SOURCES if not _exists(spark, cfg.raw(s))]
+def load_bronze(release: Release, missing: list[str], on_missing: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All Bronze tables, and the malformed lines of all feeds with the file and record they belong to."""
+    spark, cfg = release.spark, release.cfg
 
     def load(spec: SourceSpec) -> DataFrame:
-        rows = _bronze_rows(spark, cfg, spec, spec.name not in missing)
-        return write_table(rows, cfg, "bronze", spec.name)
+        rows = _bronze_rows(spark, cfg, spec, spec.name not in missing, on_missing)
+        return release.save(rows, "bronze", spec.name, hidden=(CORRUPT,))
 
     with ThreadPoolExecutor(len(SOURCES)) as pool:
-        return dict(zip(SOURCES, pool.map(load, SOURCES.values()))), missing
+        saved = dict(zip(SOURCES, pool.map(load, SOURCES.values())))
+    lines = (
+        f"SELECT '{n}' AS source, source_file_name, `{SOURCES[n].key}` AS record_id, {CORRUPT} AS line "
+        f"FROM {release.saved('bronze', n)} WHERE {CORRUPT} IS NOT NULL"
+        for n in saved
+    )
+    malformed = release.view("bronze", "malformed_lines", " UNION ALL ".join(lines))
+    return {n: df.drop(CORRUPT) for n, df in saved.items()}, malformed
 
 
-def _saver(cfg: LakeConfig, finish: Callable[[DataFrame], DataFrame] = lambda df: df):
+def _saver(release: Release, finish: Callable[[DataFrame], DataFrame] = lambda df: df):
     """Write each named work table on first request, then hand out its reader."""
     saved: dict[str, DataFrame] = {}
 
     def save(name, build, partition_by=()):
         if name not in saved:
-            saved[name] = write_table(finish(build()), cfg, "work", name, partition_by)
+            saved[name] = release.save(finish(build()), "work", name, partition_by)
         return saved[name]
 
     return save
 
 
-def _view(spark: SparkSession, cfg: LakeConfig, layer: str, name: str, select: str) -> DataFrame:
-    """A published table as a catalog view on a saved one: no second copy of the data."""
-    full_name = cfg.table(layer, name)
-    spark.sql(f"CREATE OR REPLACE VIEW {full_name} AS {select}")
-    return spark.table(full_name)
-
-
-def publish_silver(spark: SparkSession, cfg: LakeConfig, silver: SilverLayer) -> dict[str, DataFrame]:
+def silver_tables(release: Release, silver: SilverLayer) -> dict[str, DataFrame]:
     """Silver tables: the accepted partition of each validated table."""
 
     def select(source: str) -> str:
@@ -95,47 +105,51 @@ def publish_silver(spark: SparkSession, cfg: LakeConfig, silver: SilverLayer) ->
             "'SILVER' AS pipeline_layer" if c == "pipeline_layer" else f"`{c}`"
             for c in silver_columns(silver.validated(source))
         ]
-        saved = cfg.table("work", f"validated_{source}")
-        return f"SELECT {', '.join(columns)} FROM {saved} WHERE {ACCEPTED}"
+        return f"SELECT {', '.join(columns)} FROM {release.saved('work', f'validated_{source}')} WHERE {ACCEPTED}"
 
-    return {s: _view(spark, cfg, "silver", s, select(s)) for s in SOURCES}
+    return {s: release.view("silver", s, select(s)) for s in SOURCES}
 
 
-def publish_gold(spark: SparkSession, cfg: LakeConfig, layer: GoldLayer) -> dict[str, DataFrame]:
+def gold_tables(release: Release, layer: GoldLayer) -> dict[str, DataFrame]:
     """Gold tables; the loan mart is a view on the saved loan-level result."""
 
     def save(name: str, df: DataFrame) -> DataFrame:
         if name != "loan_default_risk_summary":
-            return write_table(stamped(df, cfg.now()), cfg, "gold", name)
+            return release.save(stamped(df, release.cfg.now()), "gold", name)
         columns = ", ".join((*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"))
-        select = f"SELECT {columns} FROM {cfg.table('work', 'loan_risk')}"
-        return _view(spark, cfg, "gold", name, select)
+        return release.view("gold", name, f"SELECT {columns} FROM {release.saved('work', 'loan_risk')}")
 
     tables = layer.tables() | layer.planned_tables()
     with ThreadPoolExecutor(len(tables)) as pool:
         return dict(zip(tables, pool.map(save, tables, tables.values())))
 
 
-def refresh(spark: SparkSession, cfg: LakeConfig) -> Refresh:
+def refresh(spark: SparkSession, cfg: LakeConfig, on_missing: str = "stop") -> Refresh:
+    """Build a release from all raw files and publish it.
+
+    ``on_missing`` says what a feed without a folder means: ``stop`` raises before anything is written,
+    ``keep`` goes on with the feed's rows of the last release, ``empty`` takes the feed as empty. Published
+    views change only after every table is written.
+    """
     size_session(spark, stored_bytes(spark, [cfg.zone("raw")]))
-    bronze, missing = load_bronze(spark, cfg)
+    missing = [s for s in SOURCES if not _exists(spark, cfg.raw(s))]
+    if missing and on_missing == "stop":
+        raise MissingFeeds(", ".join(missing))
+    release = Release(spark, cfg)
+    bronze, malformed = load_bronze(release, missing, on_missing)
 
-    silver_layer = SilverLayer(bronze, _saver(cfg), cfg.null_policy, cfg.now())
+    silver_layer = SilverLayer(bronze, _saver(release), cfg.null_policy, cfg.now())
     silver_layer.build()
-    silver = publish_silver(spark, cfg, silver_layer)
-    rejects = write_table(silver_layer.all_rejects(), cfg, "silver", "rejected_records")
+    silver = silver_tables(release, silver_layer)
+    rejects = release.save(silver_layer.all_rejects(), "silver", "rejected_records")
+    rejected_zone = release.path("rejected", "")
+    write_rejected_zone(rejects, rejected_zone)
 
-    save_stamped = _saver(cfg, lambda df: stamped(df, cfg.now()))
+    save_stamped = _saver(release, lambda df: stamped(df, cfg.now()))
     gold_layer = GoldLayer(silver_layer, save_stamped, cfg.today())
-    gold = publish_gold(spark, cfg, gold_layer)
-    register_staging_views(gold)
-    marts = {
-        name: write_table(df, cfg, "reporting", name) for name, df in reporting_marts(gold).items()
-    }
-    return Refresh(bronze, silver, gold, marts, rejects, missing)
-
-
-def write_rejected_files(run: Refresh, cfg: LakeConfig) -> str:
-    target = cfg.zone("rejected")
-    write_rejected_zone(run.rejects, target)
-    return target
+    gold = gold_tables(release, gold_layer)
+    marts = {n: release.save(df, "reporting", n) for n, df in reporting_marts(gold).items()}
+    release.publish()
+    for view, table in STAGING_VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {cfg.database}.{view} AS SELECT * FROM {cfg.table('gold', table)}")
+    return Refresh(bronze, silver, gold, marts, rejects, malformed, missing, rejected_zone)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,33 +13,77 @@ from lendworks.config import LakeConfig
 from lendworks.sources.raw_files import row_counts
 
 
-def write_table(
-    df: DataFrame,
-    cfg: LakeConfig,
-    layer: str,
-    name: str,
-    partition_by: Sequence[str] = (),
-) -> DataFrame:
-    """Replace a table's data and schema, register it, and return a reader of what was written.
+class Release:
+    """One run's tables: each written once under the run's own name, all published together at the end.
 
-    The plan of ``df`` must not read the table being replaced.
+    Published names are catalog views. Until ``publish`` they show the last release, so readers see whole old or
+    whole new tables, and a run that fails on the way changes nothing they read. Files of a release are never
+    rewritten; ``expire`` deletes those of old releases.
     """
-    full_name = cfg.table(layer, name)
-    writer = (
-        df.write.format(cfg.table_format)
-        .mode("overwrite")
-        .option("overwriteSchema", "true")
-        .option("path", cfg.zone(layer, name))
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(full_name)
-    return df.sparkSession.table(full_name)
+
+    MARK = "__v"
+
+    def __init__(self, spark: SparkSession, cfg: LakeConfig):
+        self.spark, self.cfg = spark, cfg
+        self.version = f"{time.time_ns():020d}"
+        self._views: dict[str, str] = {}
+
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.cfg.zone(layer, name)}/{self.MARK}{self.version}"
+
+    def _stored_name(self, layer: str, name: str) -> str:
+        return f"{self.cfg.table(layer, name)}{self.MARK}{self.version}"
+
+    def save(
+        self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (), hidden: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write a table and return its reader; work tables are not published, ``hidden`` columns neither."""
+        stored = self._stored_name(layer, name)
+        writer = df.write.format(self.cfg.table_format).option("path", self.path(layer, name))
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(stored)
+        reader = self.spark.table(stored)
+        if layer != "work":
+            columns = ", ".join(f"`{c}`" for c in reader.columns if c not in hidden)
+            self.view(layer, name, f"SELECT {columns} FROM {stored}")
+        return reader
+
+    def saved(self, layer: str, name: str) -> str:
+        return self._stored_name(layer, name)
+
+    def view(self, layer: str, name: str, select: str) -> DataFrame:
+        """Publish a selection from saved tables later, read it now."""
+        self._views[self.cfg.table(layer, name)] = select
+        return self.spark.sql(select)
+
+    def publish(self) -> None:
+        for name, select in self._views.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Drop the tables and files of all but the last ``keep`` releases; returns the dropped tables."""
+        stored = [t.name for t in self.spark.catalog.listTables(self.cfg.database) if self.MARK in t.name]
+        versions = sorted({n.rpartition(self.MARK)[2] for n in stored})[:-keep]
+        dropped = [n for n in stored if n.rpartition(self.MARK)[2] in versions]
+        for name in dropped:
+            full = f"{self.cfg.database}.{name}"
+            where = self.spark.sql(f"DESCRIBE FORMATTED {full}").filter("col_name = 'Location'").first()["data_type"]
+            self.spark.sql(f"DROP TABLE {full}")
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
+            if path.getName().startswith(self.MARK):
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return dropped
 
 
 def write_rejected_zone(rejects: DataFrame, path: str) -> None:
-    """Rejects as files, one folder per source table and rule."""
-    rejects.write.mode("overwrite").partitionBy("source_table", "rule_code").parquet(path)
+    """Rejects as files, one folder per source table and rule.
+
+    Rebalancing brings a rule's rows together and lets adaptive execution split large rules and merge small
+    ones, so the number of files follows the rows instead of tasks times rules.
+    """
+    dealt = rejects.hint("rebalance", "source_table", "rule_code")
+    dealt.write.mode("overwrite").partitionBy("source_table", "rule_code").parquet(path)
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,8 @@ import pytest
 
 from lendworks.config import LakeConfig
 from lendworks.operators.validate import rejects_by_rule
-from lendworks.plans.refresh import refresh, write_rejected_files
+from lendworks.plans import refresh as refresh_module
+from lendworks.plans.refresh import MissingFeeds, refresh
 from lendworks.sources.raw_files import (
     audit_rollup,
     read_raw,
@@ -15,7 +16,7 @@ from lendworks.sources.raw_files import (
     volume_check,
 )
 from lendworks.sources.registry import SOURCES
-from lendworks.sources.tables import ReportingStore, publish, publish_reconcile
+from lendworks.sources.tables import Release, ReportingStore, publish, publish_reconcile
 from tests.helpers import AS_OF, GOOD, record, rows
 
 
@@ -43,7 +44,10 @@ def lake_run(spark, tmp_path_factory):
     )
     cfg = LakeConfig(base, database="lake_test", as_of=AS_OF, batch_id="b1")
     spark.sql("CREATE DATABASE IF NOT EXISTS lake_test")
-    return cfg, refresh(spark, cfg)
+    with pytest.raises(MissingFeeds, match="emi_payments"):
+        refresh(spark, cfg)
+    assert not spark.catalog.listTables("lake_test")  # nothing was written
+    return cfg, refresh(spark, cfg, on_missing="empty")
 
 
 def test_all_layers_are_written(spark, lake_run):
@@ -95,8 +99,8 @@ def test_silver_view_reads_the_accepted_partition_only(lake_run):
 
 
 def test_rejected_zone_is_partitioned_by_source_and_rule(spark, lake_run):
-    cfg, run = lake_run
-    target = write_rejected_files(run, cfg)
+    _, run = lake_run
+    target = run.rejected_zone
     assert os.path.isdir(f"{target}/source_table=bronze_loan_accounts/rule_code=LOAN_005")
     assert spark.read.parquet(target).count() == 3
 
@@ -132,9 +136,45 @@ def test_publish_and_reconcile(spark, lake_run, tmp_path):
     assert not publish_reconcile(sent, store, ["gold_portfolio_kpis"]).first().matches
 
 
-def test_second_refresh_replaces_the_first(spark, lake_run):
-    """Last in this module: readers handed out by the first run do not outlive its files."""
+def test_malformed_lines_are_reported(spark, lake_run):
+    _, run = lake_run
+    assert [(r.source, r.record_id) for r in run.malformed.collect()] == [("loan_accounts", "L2")]
+    assert "oops" in spark.table("lake_test.bronze_malformed_lines").first().line
+    assert "_corrupt_record" not in spark.table("lake_test.bronze_loan_accounts").columns
+
+
+def test_staging_views_are_in_the_catalog(spark, lake_run):
+    _, run = lake_run
+    other = spark.newSession()
+    assert rows(other.table("lake_test.stg_portfolio_kpis")) == rows(run.gold["portfolio_kpis"])
+
+
+def test_a_refresh_that_fails_midway_changes_no_published_table(spark, lake_run, monkeypatch):
     cfg, _ = lake_run
-    again = refresh(spark, cfg)
+    before = {t: rows(spark.table(f"lake_test.{t}")) for t in ("silver_customers", "gold_portfolio_kpis", "bronze_customers")}
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(refresh_module, "gold_tables", fail)
+    with pytest.raises(RuntimeError):
+        refresh(spark, cfg, on_missing="empty")
+    assert {t: rows(spark.table(f"lake_test.{t}")) for t in before} == before
+
+
+def test_second_refresh_replaces_the_first_and_its_readers_go_on(spark, lake_run):
+    cfg, first = lake_run
+    write_csv(f"{cfg.base_path}/raw", "customers", record("customers", customer_id="C9"), name="day3.csv")
+    old = rows(first.silver["customers"])
+    again = refresh(spark, cfg, on_missing="keep")
     counts = {r.table_name: r.row_count for r in again.counts().collect()}
     assert counts["bronze_loan_accounts"] == 3 and counts["silver_rejected_records"] == 3
+    assert counts["bronze_emi_payments"] == 0  # kept as the last release had it
+    assert spark.table("lake_test.silver_customers").count() == 2
+    assert rows(first.silver["customers"]) == old
+    Release(spark, cfg).expire(keep=1)
+    spark.catalog.clearCache()
+    assert spark.table("lake_test.silver_customers").count() == 2
+    assert {t.name.rpartition("__v")[2] for t in spark.catalog.listTables("lake_test") if "__v" in t.name} == {
+        max(t.name.rpartition("__v")[2] for t in spark.catalog.listTables("lake_test") if "__v" in t.name)
+    }
