@@ -262,5 +262,6 @@ def text_of(page: Page, chosen: np.ndarray) -> str:
     for i in range(1, len(page.tags)):
         hidden[i] = page.tags[i] in HIDDEN or hidden[page.parents[i]]
     chosen = chosen & ~hidden
-    found = ["\n" if text is None else text for node, text in page.pieces if text is None or chosen[node]]
-    return " ".join(unescape("".join(found)).split())
+    # References are decoded piece by piece: what two elements hold side by side is no reference.
+    found = ["\n" if text is None else unescape(text) for node, text in page.pieces if text is None or chosen[node]]
+    return " ".join("".join(found).split())

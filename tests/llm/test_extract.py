@@ -103,6 +103,7 @@ def test_parsing_of_broken_pages():
     everything = lambda page: dom.text_of((p := dom.parse(page)), np.ones(len(p.tags), bool))
     assert everything("<p>a<p>b<b>c</b>d<br>e") == "a bcd e"
     assert everything("x &lt;y&gt; &amp;amp; &#233;&nbsp;z <!-- no --> w") == "x <y> &amp; é z w"
+    assert everything("&am<b>p;</b> &lt<i>x</i>") == "&amp; <x"
     assert everything("<script>var t='</p>';</script>k<style>p{}</style>") == "k"
     assert everything("a < b and 1<2 <unclosed") == "a < b and 1<2"
     assert everything("<ul><li>1<li>2</ul><table><tr><td>3<td>4</table>") == "1 2 3 4"
