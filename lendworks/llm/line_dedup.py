@@ -180,7 +180,7 @@ def line_dedup(
     )
     runs = stage.table("runs", lambda: runs)
     matched = rows.join(
-        runs, F.col("_id").eqNullSafe(F.col("_run_id")) & (F.col("_hash") == F.col("_run_hash")), "left"
+        runs.hint("merge"), F.col("_id").eqNullSafe(F.col("_run_id")) & (F.col("_hash") == F.col("_run_hash")), "left"
     )
 
     @F.arrow_udf("struct<text:string,gone:int>")
