@@ -29,6 +29,8 @@ from lendworks.llm.batches import packed, slices, texts_of, unpacked
 from lendworks.staging import Stage
 
 MIN_WORDS = 50
+#: Parts that the windows of one content are joined in.
+SALTS = 8
 
 WINDOW = "struct<at:int,length:int,digest:binary>"
 
@@ -133,9 +135,11 @@ def repeated_runs(docs: DataFrame, min_words: int, stage: Stage) -> DataFrame:
         windows.groupBy("digest")
         .agg(F.min(F.struct(place.alias("place"), "before", "after")).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", "first", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
     )
-    matches = windows.withColumn("place", place).join(firsts, "digest").filter(F.col("place") > F.col("first.place"))
+    # Every window of a passage that very many documents share meets the same first one: under one of SALTS keys.
+    salted = windows.withColumn("place", place).withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int"))
+    matches = salted.join(firsts, ["digest", "salt"]).filter(F.col("place") > F.col("first.place"))
     back = leading_equal(F.col("before"), F.col("first.before"))
     ahead = leading_equal(F.col("after"), F.col("first.after"))
     return matches.select(
