@@ -5,11 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text handled at once inside a task, in bytes; single longer texts are still taken whole.
 SLICE_BYTES = 4_000_000
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULTS = ("64MB", "67108864", "67108864b")
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the Arrow batches between Spark and Python small, unless the session set their size itself.
+
+    Spark's own limits fit narrow rows; of whole texts a task would hold several copies of 64 MB at once.
+    """
+    if spark.conf.get(BATCH_BYTES) in BATCH_DEFAULTS:
+        spark.conf.set(BATCH_BYTES, SLICE_BYTES)
+
 
 def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows whose strings in ``column`` hold about ``limit`` bytes."""

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lendworks.llm.batches import slices, texts_of
+from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.pieces import BYTE_CHARACTERS, PieceCache, as_byte_characters, packed_ids
 
 #: Texts of ASCII and Latin-1 letters only; for these SIMPLE_SPLIT equals the general split pattern.
@@ -130,6 +130,7 @@ def encode(
     df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = True, decoded: bool = False
 ) -> DataFrame:
     """Add ``token_ids`` and, if asked, ``token_starts`` (characters) and ``decoded`` (bytes, from the ids)."""
+    bounded_batches(df.sparkSession)
     names = ["token_ids", *["token_starts"] * offsets, *["decoded"] * decoded]
     kinds = {"token_ids": "array<int>", "token_starts": "array<int>", "decoded": "binary"}
     kept = _added(df, names)
@@ -156,6 +157,7 @@ def encode(
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
     """Add ``decoded`` (bytes) and ``decoded_text`` for the ids of each row; null ids count as none."""
+    bounded_batches(df.sparkSession)
     names = ["decoded", "decoded_text"]
     kept = _added(df, names)
     source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").cast("array<int>").alias("_ids"))

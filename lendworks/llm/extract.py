@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lendworks.llm.batches import slices, texts_of
+from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.dom import FEATURES, MAIN_TAGS, Page, features, parse, text_of
 
 MAX_TRAIN = 300
@@ -243,6 +243,7 @@ def fit(pages: DataFrame, max_train: int = MAX_TRAIN) -> Boosted:
 
 def extract(pages: DataFrame, model: Boosted | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
+    bounded_batches(pages.sparkSession)
     model = model or fit(pages, max_train)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

@@ -25,7 +25,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendworks.llm.batches import packed, slices, texts_of, unpacked
+from lendworks.llm.batches import bounded_batches, packed, slices, texts_of, unpacked
 from lendworks.staging import Stage
 
 MIN_WORDS = 50
@@ -170,6 +170,7 @@ def line_dedup(
     count: str | None = "lines_removed",
 ) -> DataFrame:
     """The documents with later repeated runs deleted from ``text``; ``count`` tells the lines that went."""
+    bounded_batches(docs.sparkSession)
     stage = Stage(docs.sparkSession)
     hashed = F.xxhash64(F.col(f"_row.`{text}`").cast("string"))
     rows = packed(docs).select("_row", F.col(f"_row.`{doc_id}`").alias("_id"), hashed.alias("_hash"))
@@ -183,6 +184,7 @@ def line_dedup(
         .select(F.col("doc_id").alias("_run_id"), F.col("text_hash").alias("_run_hash"), "_runs")
     )
     runs = stage.table("runs", lambda: runs)
+    # A merge join at every size: the runs grow with the documents, so their broadcast would not last.
     matched = rows.join(
         runs.hint("merge"), F.col("_id").eqNullSafe(F.col("_run_id")) & (F.col("_hash") == F.col("_run_hash")), "left"
     )

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendworks.llm.batches import packed, slices, texts_of, unpacked
+from lendworks.llm.batches import bounded_batches, packed, slices, texts_of, unpacked
 
 WORD_SLOTS = 1 << 13
 FOLDS = 5
@@ -73,7 +73,7 @@ STATISTICS = (
 SIZE = WORD_SLOTS + len(STATISTICS) * (len(BORDERS) + 2)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def _slot(word: str) -> int:
     return crc32(word.encode("utf-8")) % WORD_SLOTS
 
@@ -211,6 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machi
             made = [features(t, n) for t, n in zip(texts_of(batch.column(0)), batch.column(1).to_pylist())]
             columns = [pa.array([m[i].tobytes() for m in made], pa.binary()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["slots", "values", "statistics", "quality"])
+    bounded_batches(docs.sparkSession)
 
     found = rows.select("text", "stated", "quality").mapInArrow(
         run, "slots binary, values binary, statistics binary, quality int"
@@ -238,6 +239,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
     added = {"held_out", "score", "predicted"}
     kept = [c for c in docs.columns if c.lower() not in added]
+    bounded_batches(spark)
     rows = packed(docs).withColumn("_score", scored(F.col("_row.text").cast("string"), _stated(docs, "_row.")))
     return rows.select(
         *unpacked(rows, kept),

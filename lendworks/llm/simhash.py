@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lendworks.llm.batches import packed, slices, texts_of, unpacked
+from lendworks.llm.batches import bounded_batches, packed, slices, texts_of, unpacked
 from lendworks.llm.links import components
 from lendworks.staging import Stage
 
@@ -61,6 +61,7 @@ def fingerprint(text: str, shingle: int) -> int:
 
 def with_fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """``doc_id, text_hash, fp`` (signed) per row."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("text_hash"),

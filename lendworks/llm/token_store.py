@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lendworks.llm.batches import slices, texts_of
+from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.bpe import parts
 from lendworks.llm.pieces import PieceCache, as_byte_characters, packed_ids
 
@@ -208,6 +208,7 @@ def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
 ) -> None:
     """Encode all texts and write their ids, ``end_id`` after each, as token files under ``folder``."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
     )

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lendworks.llm.batches import bounded_batches
 from lendworks.staging import Stage
 
 PIVOTS = 32
@@ -114,6 +115,7 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``; ``is_query`` is a condition on ``vec_id``."""
     spark = vectors.sparkSession
+    bounded_batches(spark)
     stage = Stage(spark)
     rows = stage.table("vectors", lambda: quantised(vectors, vec_id, vector))
     norm = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
