@@ -17,7 +17,7 @@ gives an empty result. Other columns are kept; columns with the names of added o
 
 from __future__ import annotations
 
-import re
+import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -42,24 +42,33 @@ DECAY = 1e-4
 #: Interval borders of a standardised statistic.
 BORDERS = np.array([-1.5, -0.5, 0.5, 1.5, 3.0])
 
-_COUNTED = {
-    name: re.compile(pattern)
-    for name, pattern in {
-        "upper": r"[A-ZÀ-ÖØ-Þ]",
-        "digit": r"[0-9]",
-        "marks": r"[^\w\s.,;:'\"-]",
-        "stops": r"[.!?](?=\s|$)",
-        "commas": r"[,;:]",
-        "mark_runs": r"([^\w\s])\1",
-        "shouted": r"\b[A-ZÀ-ÖØ-Þ]{2,}\b",
-        "mixed": r"\w[^\w\s'’-]+\w",
-    }.items()
-}
+# Classes of a text's UTF-8 bytes. Bytes beyond ASCII count as letters.
+_LETTER, _UPPER, _DIGIT, _STOP, _COMMA, _QUOTE, _MARK, _SPACE = range(8)
+_CLASS = np.full(256, _LETTER, np.uint8)
+_CLASS[:33] = _SPACE
+_CLASS[33:127] = _MARK
+for _characters, _kind in (
+    (string.ascii_lowercase, _LETTER),
+    (string.ascii_uppercase, _UPPER),
+    (string.digits, _DIGIT),
+    (".!?", _STOP),
+    (",;:", _COMMA),
+    ("'\"-", _QUOTE),
+):
+    _CLASS[list(_characters.encode())] = _kind
+
 STATISTICS = (
     "chars",
     "words",
     "lines",
-    *_COUNTED,
+    "upper",
+    "digit",
+    "marks",
+    "stops",
+    "commas",
+    "runs",
+    "after_letter",
+    "shouted",
     "word_length",
     "distinct_words",
     "top_word",
@@ -91,19 +100,22 @@ def features(text: str, stated_chars: int | None) -> tuple[np.ndarray, np.ndarra
     norm = float(np.sqrt((values**2).sum())) or 1.0
     lines = [s for line in text.split("\n") if (s := line.strip())]
     n_chars, n_words, n_lines = max(len(text), 1), max(len(words), 1), max(len(lines), 1)
-    found = {name: sum(1 for _ in pattern.finditer(text)) for name, pattern in _COUNTED.items()}
+    raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+    kinds = _CLASS[raw]
+    of_kind = np.bincount(kinds, minlength=8)
+    sign = (kinds == _MARK) | (kinds == _STOP)
     statistics = [
         np.log1p(len(text)),
         np.log1p(len(words)),
         np.log1p(len(lines)),
-        found["upper"] / n_chars,
-        found["digit"] / n_chars,
-        found["marks"] / n_chars,
-        found["stops"] / n_words,
-        found["commas"] / n_words,
-        found["mark_runs"] / n_words,
-        found["shouted"] / n_words,
-        found["mixed"] / n_words,
+        of_kind[_UPPER] / n_chars,
+        of_kind[_DIGIT] / n_chars,
+        of_kind[_MARK] / n_chars,
+        of_kind[_STOP] / n_words,
+        of_kind[_COMMA] / n_words,
+        np.count_nonzero(sign[1:] & (raw[1:] == raw[:-1])) / n_words,
+        np.count_nonzero((kinds[1:] == _MARK) & (kinds[:-1] <= _UPPER)) / n_words,
+        sum(n for word, n in counts.items() if word.isupper() and len(word) > 1) / n_words,
         sum(map(len, words)) / n_words,
         len(counts) / n_words,
         max(counts.values(), default=0) / n_words,
@@ -199,6 +211,7 @@ def _stated(df: DataFrame, prefix: str = "") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machine:
     """Train on at most ``max_train`` labelled documents; their features, not their texts, reach the driver."""
+    bounded_batches(docs.sparkSession)
     usable = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
     sample = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(*order).limit(max_train)
@@ -211,7 +224,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machi
             made = [features(t, n) for t, n in zip(texts_of(batch.column(0)), batch.column(1).to_pylist())]
             columns = [pa.array([m[i].tobytes() for m in made], pa.binary()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["slots", "values", "statistics", "quality"])
-    bounded_batches(docs.sparkSession)
 
     found = rows.select("text", "stated", "quality").mapInArrow(
         run, "slots binary, values binary, statistics binary, quality int"
@@ -227,6 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machi
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """Add ``held_out``, ``score`` and ``predicted`` to every document."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(machine)
 
     @F.arrow_udf("double")
@@ -239,7 +252,6 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
     added = {"held_out", "score", "predicted"}
     kept = [c for c in docs.columns if c.lower() not in added]
-    bounded_batches(spark)
     rows = packed(docs).withColumn("_score", scored(F.col("_row.text").cast("string"), _stated(docs, "_row.")))
     return rows.select(
         *unpacked(rows, kept),
