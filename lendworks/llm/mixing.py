@@ -105,11 +105,9 @@ def mix(
         row = row.withColumn("salted", F.pmod(F.xxhash64("id", "row"), F.lit(salts)).cast("int"))
         rated = row.join(spread, F.col("of").eqNullSafe(F.col("source")) & (F.col("salted") == F.col("salt")))
 
-    def drawn(total: Column, part: Column) -> Column:
-        u = uniform(seed, F.col("id"), part)
-        return total + F.size(F.filter(F.col("sums"), lambda s: s < u))
-
-    count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), drawn)
+    # The draws are an array of their own, so that each is hashed once and not once per value of the table.
+    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: uniform(seed, F.col("id"), part))
+    count = F.aggregate(draws, F.lit(0), lambda total, u: total + F.size(F.filter(F.col("sums"), lambda s: s < u)))
     copies = (
         rated.select("row", "id", count.alias("copies"))
         .filter("copies > 0")
