@@ -65,6 +65,10 @@ def with_reference_flag(
 
 def orphans(df: DataFrame, column: str, parent_keys: DataFrame, hot: Iterable = ()) -> DataFrame:
     """Rows whose reference is missing from the parent; a NULL reference is an orphan."""
+    hot = list(hot)
+    if not hot:
+        known = parent_keys.select(F.col(parent_keys.columns[0]).alias(column))
+        return df.join(known, column, "left_anti").select(*df.columns)
     flag = reference_flag(column)
     return with_reference_flag(df, column, parent_keys, hot).filter(~F.col(flag)).drop(flag)
 

@@ -166,7 +166,9 @@ def customer_risk_score(loan_risk: DataFrame) -> DataFrame:
     return scores.select(
         "customer_id",
         "max_risk_score",
-        F.round(F.col("_weighted") / F.col("total_loan_amount"), 2).alias("exposure_weighted_score"),
+        F.round(F.coalesce(F.try_divide("_weighted", "total_loan_amount"), F.lit(0.0)), 2).alias(
+            "exposure_weighted_score"
+        ),
         "total_loan_amount",
         risk.risk_band("max_risk_score").alias("risk_category"),
     )

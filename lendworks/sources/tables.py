@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendworks.config import LakeConfig
-from lendworks.sources.raw_files import row_counts
 
 
 class Release:
@@ -123,15 +123,20 @@ class ReportingStore:
 
 
 def publish(tables: Mapping[str, DataFrame], store: ReportingStore) -> DataFrame:
-    """Overwrite each table in the store; returns ``(source_table, target_table, source_rows)``."""
-    for name, df in tables.items():
-        store.write(df, name)
-    targets = F.create_map(*(F.lit(x) for n in tables for x in (n, store.target(n))))
-    return row_counts(tables).select(
-        F.col("table_name").alias("source_table"),
-        targets[F.col("table_name")].alias("target_table"),
-        F.col("row_count").alias("source_rows"),
-    )
+    """Overwrite each table in the store; returns ``(source_table, target_table, source_rows)``.
+
+    Tables are sent side by side, and their rows are counted as they are sent.
+    """
+    spark = next(iter(tables.values())).sparkSession
+
+    def send(name: str) -> tuple[str, str, int]:
+        sent = Observation(name)
+        store.write(tables[name].observe(sent, F.count(F.lit(1)).alias("rows")), name)
+        return name, store.target(name), sent.get.get("rows", 0)
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        rows = list(pool.map(send, tables))
+    return spark.createDataFrame(rows, "source_table string, target_table string, source_rows bigint")
 
 
 def publish_reconcile(published: DataFrame, store: ReportingStore, names: Sequence[str]) -> DataFrame:
