@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.bpe import parts
-from lendworks.llm.pieces import PieceCache, as_byte_characters, packed_ids
+from lendworks.llm.pieces import CACHE_PIECES, PieceCache, as_byte_characters, packed_ids
 
 MAGIC = b"DACTOK01"
 FILE_MAGIC = b"DACFILE1"
@@ -54,7 +54,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.pieces = PieceCache(self._piece)
+        self.pieces = PieceCache(self._piece, 2 * CACHE_PIECES)
 
     def _piece(self, piece: str) -> bytes:
         return packed_ids([t.id for t in self.model.tokenize(as_byte_characters(piece))])
