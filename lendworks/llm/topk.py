@@ -178,7 +178,8 @@ def top_k(
         .groupBy("pivot", "ring", deal.alias("deal"))
         .agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
     )
-    first_blocks = blocks.groupBy("pivot", "ring").agg(F.min("block").alias("block")).join(blocks, ["pivot", "ring", "block"])
+    first_blocks = blocks.groupBy("pivot", "ring").agg(F.min("block").alias("block"))
+    first_blocks = first_blocks.join(blocks.hint("merge"), ["pivot", "ring", "block"])
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +195,7 @@ def top_k(
 
     looked = stage.table(
         "looked",
-        lambda: homes.join(first_blocks, ["pivot", "ring"])
+        lambda: homes.join(first_blocks.hint("merge"), ["pivot", "ring"])
         .select("queries", "members")
         .mapInArrow(look, "vec_id long, v array<long>, least long"),
     )
@@ -222,7 +223,8 @@ def top_k(
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in rows_out], kinds[i]) for i in range(6)], names)
 
     wanted = looked.mapInArrow(expand, "pivot int, ring int, block int, ids binary, least binary, vectors binary")
-    pairs = wanted.join(blocks, ["pivot", "ring", "block"]).select("ids", "least", "vectors", "members")
+    # Neither side has a bound, and the estimate of a Python function's rows is no measure: join by a shuffle.
+    pairs = wanted.join(blocks.hint("merge"), ["pivot", "ring", "block"]).select("ids", "least", "vectors", "members")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
