@@ -128,8 +128,17 @@ def resolve(records: DataFrame) -> DataFrame:
         F.col("canonical_url").alias("key"), "ts", "record_id", is_full.alias("full"), "kind", "headers", "digest", "status"
     )
     found = latest_earlier(events, slice_of(records)).filter("kind = 'revisit'")
+    # Revisits without an earlier response match nothing; a hash spreads them over the tasks of the join.
+    nowhere = F.when(F.col("earlier").isNull(), F.xxhash64("record_id"))
     revisits = found.select(
-        "record_id", F.col("key").alias("canonical_url"), "ts", "status", "headers", "digest", F.col("earlier.id").alias("to"), F.col("earlier.micros").alias("to_micros")
+        "record_id",
+        F.col("key").alias("canonical_url"),
+        "ts",
+        "status",
+        "headers",
+        "digest",
+        F.col("earlier.id").alias("to"),
+        F.coalesce(F.col("earlier.micros"), nowhere).alias("to_micros"),
     )
     # One row per record, whatever repeats; a revisit's own payload is not needed from here on.
     responses = (
