@@ -87,3 +87,29 @@ def test_query_against_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     found = QUERIES["op2_line_dedup"](spark, sf).select("doc_id", "text", "lines_removed").collect()
     assert sorted(map(tuple, found)) == sorted(brute(rows, line_dedup.MIN_WORDS))
+
+
+def removed(spark, rows: list[tuple], **options) -> list[tuple]:
+    found = line_dedup.line_dedup(documents(spark, rows), **options).select("doc_id", "text", "lines_removed").collect()
+    return sorted(map(tuple, found), key=repr)
+
+
+def test_a_run_is_followed_beyond_a_passage_that_a_third_document_holds_first(spark):
+    head, shared, tail = (" ".join(f"{w}{i}" for i in range(n)) for w, n in (("x", 60), ("r", 95), ("y", 10)))
+    rows = [(1, f"a\n{shared}"), (2, f"{head}\n{shared}\n{tail}"), (3, f"{head}\n{shared}\n{tail}")]
+    assert removed(spark, rows) == [(1, rows[0][1], 0), (2, f"{head}\n{tail}", 1), (3, "", 3)]
+
+
+def test_runs_through_passages_of_other_documents_against_brute_force(spark):
+    rng = random.Random(5)
+    line = lambda: " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 99)) for _ in range(rng.randint(1, 5)))
+    rows = []
+    for g in range(30):
+        parts = [[line() for _ in range(rng.randint(4, 25))] for _ in range(4)]
+        middle = "\n".join(parts[1] + ["", *parts[2]])
+        whole = "\n".join(parts[0]) + "\n" + middle + "\n" + line()
+        rows.append((10 * g, f"own {g}\n{middle}"))
+        rows += [(10 * g + i, f"{whole}\n{line()}" if i % 2 else whole) for i in range(1, 5)]
+        rows.append((10 * g + 5, "\n".join(parts[0] + parts[0])))
+    rows += [(None, rows[1][1]), (None, rows[1][1]), rows[2], rows[2]]
+    assert removed(spark, rows, min_words=12) == sorted(brute(rows, 12), key=repr)
