@@ -4,7 +4,8 @@ A text becomes a sparse vector: its words hashed into WORD_SLOTS slots with damp
 structure statistics (standardised, and as intervals) and the document's stated length. The machine scores
 ``w0 + <w, x> + sum over pairs <v_i, v_j> x_i x_j`` with the pair sum taken in linear time as half of
 ``|sum v_i x_i|^2 - sum |v_i x_i|^2``. It is trained by gradient descent on at most ``max_train`` labelled
-texts, the ones with the smallest hashed ids; everything else covers all documents.
+texts: one of each label, those with the smallest hashed ids, and if places are left, further texts of the labelled
+ids by hash of id and text. Repeated labels and documents count once. Everything else covers all documents.
 
 Labels, language, source and id are never inputs of a score. Labels are learnt only from ids outside the
 held-out fold: the CRC-32 of the id as text leaves a remainder other than 0 by 5.
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendworks.llm.batches import bounded_batches, packed, slices, texts_of, unpacked
+from lendworks.staging import Stage
 
 WORD_SLOTS = 1 << 13
 FOLDS = 5
@@ -213,11 +215,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machi
     """Train on at most ``max_train`` labelled documents; their features, not their texts, reach the driver."""
     bounded_batches(docs.sparkSession)
     usable = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
-    sample = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(*order).limit(max_train)
-    # The sample has max_train rows at most, whatever the labels' size. An id may have several documents.
+    usable = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _stated(docs).alias("stated"))
-    rows = rows.join(F.broadcast(sample), "doc_id").orderBy(*order, F.xxhash64("text")).limit(max_train)
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    labelled = rows.drop("text").join(usable, "doc_id")
+    stage, names = Stage(docs.sparkSession), ["doc_id", "quality", "text_hash", "stated"]
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
+    # However many documents an id has, each label has a place before any has a second one.
+    first = labelled.groupBy("doc_id", "quality").agg(F.min(F.struct("text_hash", "stated")).alias("own"))
+    first = first.select("doc_id", "quality", "own.*").orderBy(*order).limit(max_train)
+    sample = stage.table("first", lambda: first).withColumn("turn", F.lit(0))
+    left = max_train - sample.count()
+    if left > 0:
+        keys = ["doc_id", "quality", "text_hash"]
+        further = labelled.join(F.broadcast(sample), keys, "left_anti").groupBy(*keys).agg(F.min("stated").alias("stated"))
+        further = further.select(*names).orderBy(F.xxhash64("doc_id", "text_hash"), *keys).limit(left)
+        sample = sample.unionByName(stage.table("further", lambda: further).withColumn("turn", F.lit(1)))
+    # The sample has max_train rows at most, whatever the tables' sizes.
+    rows = rows.drop("stated").join(F.broadcast(sample), ["doc_id", "text_hash"])
+    rows = rows.dropDuplicates(["doc_id", "quality", "text_hash"]).orderBy("turn", *order, "text_hash").limit(max_train)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):

@@ -83,3 +83,46 @@ def test_awkward_rows_labels_and_tables(spark):
     assert {r["score"] for r in quality.classify(docs, no_labels).collect()} == {0.5}
     assert quality.classify(none(spark), labels).collect() == []
     assert quality.classify(docs, labels.filter("quality = 1")).filter("score < 0.99").collect() == []
+
+
+def taken(spark, monkeypatch, docs, labels, max_train):
+    """What the training gets: distinct examples, and their labels."""
+    seen = []
+    machine = quality.Machine(0, 0, 0, 0, 1)
+    monkeypatch.setattr(quality, "train", lambda examples, y: seen.append((examples, y.tolist())) or machine)
+    quality.fit(docs, labels, max_train=max_train)
+    (examples, y), = seen
+    return {tuple(part.tobytes() for part in e) for e in examples}, y
+
+
+def smallest(labels) -> int:
+    """The id that the sample takes first."""
+    hashed = labels.filter("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0").selectExpr("xxhash64(doc_id)", "doc_id")
+    return min(map(tuple, hashed.collect()))[1]
+
+
+def test_a_label_repeated_very_often_takes_one_place(spark, monkeypatch):
+    docs, labels = sample(spark)
+    hot = labels.filter(f"doc_id = {smallest(labels)}").selectExpr("doc_id", "quality", "toxic", "explode(sequence(1, 300))").drop("col")
+    plain = taken(spark, monkeypatch, docs, labels, 25)
+    found = taken(spark, monkeypatch, docs.union(docs), labels.union(hot), 25)
+    assert found == plain and len(found[0]) == 25 and set(found[1]) == {0, 1}
+
+
+def test_an_id_with_very_many_documents_leaves_a_place_to_each_label(spark, monkeypatch):
+    docs, labels = sample(spark)
+    hot = spark.range(300).selectExpr(f"{smallest(labels)}L AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'s' AS source")
+    many = docs.unionByName(hot.selectExpr("*", "CAST(length(text) AS BIGINT) AS n_chars"))
+    plain, found = taken(spark, monkeypatch, docs, labels, 25), taken(spark, monkeypatch, many, labels, 25)
+    assert found[1] == plain[1] and len(found[0] & plain[0]) >= 24
+    # Places beyond the labels' own go to further texts.
+    usable = len(taken(spark, monkeypatch, docs, labels, 1_000)[1])
+    whole = taken(spark, monkeypatch, many, labels, usable + 40)
+    assert len(whole[1]) == len(whole[0]) == usable + 40
+    assert len(taken(spark, monkeypatch, many, labels, 1_000)[1]) == usable + 300
+
+
+def test_labels_without_documents_take_no_place(spark, monkeypatch):
+    docs, labels = sample(spark)
+    others = spark.range(1_000, 3_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert taken(spark, monkeypatch, docs, labels.union(others), 25) == taken(spark, monkeypatch, docs, labels, 25)
