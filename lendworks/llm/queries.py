@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, revisits, simhash, token_store, topk, toxicity
+from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, revisits, runs, simhash, token_store, topk, toxicity
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -135,6 +135,49 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents, a tenth of them (by CRC-32 of the id) with a tail that repeats its first words."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        start = g % F.greatest(n, F.lit(1))
+        period = 1 + F.floor((n - start) / (3 + g % 8))
+        place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period).cast("int")
+        tail = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i)))
+        return F.when(n > 0, F.array_join(tail, " ")).otherwise("")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(F.col("text").isNotNull() & (hashed % 10 == 0), F.transform(F.array(words), repeated)[0])
+    return docs.withColumn("text", text.otherwise(F.col("text")))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return run_digests(runs.periodic_runs(with_planted_runs(docs), min_length=6, min_exponent=4))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    def higher(best: Column, run: Column) -> Column:
+        # Runs come by start and period, so only a greater exponent replaces the best one.
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    best = F.reduce("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), higher)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -147,4 +190,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_toxicity": op11_toxicity,
+    "op12_word_runs": op12_word_runs,
 }
