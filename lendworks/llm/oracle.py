@@ -95,6 +95,43 @@ FROM documents d JOIN copies n ON d.doc_id IS NOT DISTINCT FROM n.doc_id, range(
 """
 
 
+# CRC-32 through its table of 256 remainders. A node is the text of its turns; every node is paired with its ancestors.
+TRIE = """
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)))),
+own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base, CAST(xor(list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+      lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INT) + 1], c >> 8)), 4294967295) % 6 AS INT) AS h
+  FROM own, crc_table),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.base),
+members AS (
+  SELECT conv_id, d AS depth, md5(CAST(to_json(turns[1:d]) AS VARCHAR)) || d AS node,
+         CASE WHEN d > 0 THEN md5(CAST(to_json(turns[1:d - 1]) AS VARCHAR)) || (d - 1) END AS parent,
+         CASE WHEN d = 0 THEN 0 ELSE length(turns[d].t) END AS chars, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+counted AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.parent = n.node) AS n_children FROM nodes n),
+below AS (
+  SELECT a.node, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM counted n JOIN members a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.node)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b ON b.node = c.node LEFT JOIN nodes p ON p.node = c.parent
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     captures = CAPTURES.format(pages="(SELECT *, unnest([0, 1, 2]) AS c FROM pages)")
-    return {"op5_revisits": REVISITS.replace("__CAPTURES__", captures), "op4_top_k": TOP_K, "op3_mix_sources": MIXING, "op10_exact_dedup": EXACT}
+    return {"op5_revisits": REVISITS.replace("__CAPTURES__", captures), "op4_top_k": TOP_K, "op3_mix_sources": MIXING, "op10_exact_dedup": EXACT, "op13_conversation_trie": TRIE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, revisits, runs, simhash, token_store, topk, toxicity
+from lendworks.llm import bpe, exact, extract, line_dedup, mixing, quality, revisits, runs, simhash, token_store, topk, toxicity, trie
 from lendworks.staging import Stage
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -178,6 +178,13 @@ def run_digests(found: DataFrame) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = trie.turn_lists(read(spark, sf_dir, "conversations"))
+    opening = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    rebuilt = trie.with_shared_openings(lists, opening, F.col("conv_id") - F.col("conv_id") % 100, longest=5)
+    return trie.trie(trie.turn_paths(rebuilt))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -191,4 +198,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_toxicity": op11_toxicity,
     "op12_word_runs": op12_word_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
