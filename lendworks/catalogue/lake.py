@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendworks.operators.skew import heavy_keys
 from lendworks.operators.standardize import standardize
 from lendworks.plans.gold import GoldLayer
 from lendworks.plans.reporting import reporting_marts
@@ -71,9 +70,6 @@ class Lake:
     def all_ingested(self) -> dict[str, DataFrame]:
         return {s: self.ingested(s) for s in SOURCES}
 
-    def hot(self, df: DataFrame, *columns: str) -> dict[str, list]:
-        return heavy_keys(df, columns)
-
     def gold_tables(self) -> dict[str, DataFrame]:
         """All Gold tables, saved like the layers below them."""
         self.silver.build()

@@ -115,7 +115,7 @@ def latest_records(lk: Lake) -> DataFrame:
 
     def latest(name, spec):
         rows = lk.standard(name)
-        kept = dedupe_latest(rows, spec, lk.hot(rows, spec.key)[spec.key])
+        kept = dedupe_latest(rows, spec)
         return _feed(name, kept.select(_as_text(spec).alias("record")))
 
     return _union(latest(n, s) for n, s in SOURCES.items() if s.deduplicated)
@@ -125,7 +125,7 @@ def latest_records(lk: Lake) -> DataFrame:
 def rule_unique(lk: Lake) -> DataFrame:
     def duplicates(name, spec):
         rows = lk.standard(name)
-        flagged = with_duplicate_flag(rows, spec, lk.hot(rows, spec.key)[spec.key])
+        flagged = with_duplicate_flag(rows, spec, lk.silver.hot(name)[spec.key])
         return broken_rules(flagged, spec, "unique")
 
     return _union(duplicates(n, s) for n, s in SOURCES.items() if s.deduplicated)
@@ -135,7 +135,7 @@ def rule_unique(lk: Lake) -> DataFrame:
 def rule_reference(lk: Lake) -> DataFrame:
     def missing(name, spec):
         rows = lk.standard(name)
-        hot = lk.hot(rows, *spec.references)
+        hot = lk.silver.hot(name)
         for column, parent in spec.references.items():
             rows = with_reference_flag(rows, column, lk.silver.keys(parent), hot[column])
         return broken_rules(rows, spec, "exists")
@@ -146,7 +146,7 @@ def rule_reference(lk: Lake) -> DataFrame:
 @query("orphans_anti_join")
 def orphan_payments(lk: Lake) -> DataFrame:
     rows = lk.declared("emi_payments")
-    hot = lk.hot(rows, "loan_id")["loan_id"]
+    hot = lk.silver.hot("emi_payments")["loan_id"]
     return orphans(rows, "loan_id", lk.silver.keys("loan_accounts"), hot)
 
 
@@ -163,7 +163,7 @@ def cascade_rejects(lk: Lake) -> DataFrame:
             ~F.col("accepted") & F.array_contains("broken_rules", rule.code)
         )
         children = children.select(spec.key, column)
-        hot = lk.hot(children, column)[column]
+        hot = lk.silver.hot(name)[column]
         flagged = with_reference_flag(children, column, turned_away, hot)
         return flagged.filter(reference_flag(column)).select(
             F.lit(spec.bronze_table).alias("source_table"),

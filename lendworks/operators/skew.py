@@ -18,8 +18,10 @@ from lendworks.sizing import shuffle_width
 MOST_HEAVY = 50_000
 SKETCH_ITEMS = 20  # tracked per key that can qualify
 
-# Starts a join key that belongs to no record, see lookup_join.
-_UNMATCHABLE = "\u0000"
+# Up to this many listed keys are written into the plan; more travel as a broadcast table.
+LITERALS = 100
+# Identical copies of a row that one task writes out again.
+COPIES = 50_000
 
 
 def heavy_keys(df: DataFrame, columns: Sequence[str], share: float | None = None) -> dict[str, list]:
@@ -48,15 +50,16 @@ def is_any_of(column: Column, values: Iterable) -> Column:
     return hit | column.isNull() if None in values else hit
 
 
-def _spread(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """A salt from the row's content and its map task.
-
-    Rows that differ are spread even if one task reads them all; identical copies are spread over the tasks
-    that read them. It does not depend on row order, hence a recomputed task yields the same salt.
-    """
-    salts = max(shuffle_width(df.sparkSession), 32)
-    content = F.xxhash64(*(F.col(f"`{c}`") for c in columns or df.columns))
-    return F.pmod(F.xxhash64(content, F.spark_partition_id()), F.lit(salts))
+def split_heavy(df: DataFrame, column: str, hot: Iterable) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not listed, and rows whose key is; each row is in one of the two."""
+    hot = list(hot)
+    if len(hot) <= LITERALS:
+        listed = is_any_of(F.col(column), hot)
+        return df.filter(~listed), df.filter(listed)
+    # At most one key in MOST_HEAVY of the rows can be listed, which bounds the broadcast.
+    keys = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in hot], "_listed string"))
+    same = F.col(column).eqNullSafe(F.col("_listed"))
+    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
 
 
 def flag_duplicates(
@@ -68,25 +71,43 @@ def flag_duplicates(
 ) -> DataFrame:
     """Add ``flag``: FALSE for the first row of each key by ``order``, TRUE for all others.
 
-    One pass over the input. If keys are listed as heavy, their rows carry a salt and all others the salt 0:
-    rows are ranked per (key, salt), and of a heavy key only the best row of each salt then competes
-    for the key while the rest stay spread out, so no task sorts a whole heavy group.
+    Every row crosses one shuffle. Rows of ordinary keys are ranked by a window. Rows of listed keys are merged
+    with their identical copies, map-side first, and so dealt out by content; the best of each key, found the same
+    way and broadcast, tells which content survives, and of its copies the first one does.
     """
     hot = list(hot)
+    ranked = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     if not hot:
-        return df.withColumn(flag, F.row_number().over(Window.partitionBy(key).orderBy(*order)) > 1)
-
-    salt = F.when(is_any_of(F.col(key), hot), _spread(df) + 1).otherwise(F.lit(0))
-    by_salt = Window.partitionBy(key, "_salt").orderBy(*order)
-    # Round -1 decides; what has lost already keeps apart under its salt.
-    lost = F.row_number().over(by_salt) > 1
-    by_round = Window.partitionBy(key, "_round").orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn("_round", F.when(lost, F.col("_salt")).otherwise(F.lit(-1)))
-        .withColumn(flag, (F.col("_round") != -1) | (F.row_number().over(by_round) > 1))
-        .drop("_salt", "_round")
+        return df.withColumn(flag, ranked > 1)
+
+    ordinary, heavy = split_heavy(df, key, hot)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    content = heavy.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Tasks keep one row a key before the shuffle, so a listed key costs a row a task.
+    best = content.withColumn("_rank", ranked).filter("_rank = 1")
+    best = best.select(F.col(f"`{key}`").alias("_best_key"), F.struct(*columns, "_copies").alias("_best"))
+    same = F.struct(*columns, "_copies").eqNullSafe(F.col("_best"))
+    judged = content.join(F.broadcast(best), F.col(f"`{key}`").eqNullSafe(F.col("_best_key"))).select(
+        *columns, "_copies", same.alias("_survives")
     )
+    # Rows that very many copies share are written out by several tasks.
+    last = ((F.col("_copies") - 1) / COPIES).cast("long")
+    many = judged.filter(F.col("_copies") > COPIES).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    many = many.repartition("_part", *columns).withColumn(
+        "_here", F.least(F.lit(COPIES).cast("long"), F.col("_copies") - F.col("_part") * COPIES)
+    )
+    few = judged.filter(F.col("_copies") <= COPIES).select("*", F.lit(0).cast("long").alias("_part"), F.col("_copies").alias("_here"))
+    copies = few.unionByName(many).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_here"))))
+    first = F.col("_survives") & (F.col("_part") == 0) & (F.col("_copy") == 1)
+    return ordinary.withColumn(flag, ranked > 1).unionByName(copies.select(*columns, (~first).alias(flag)))
+
+
+def _listed_rows(lookup: DataFrame, on: str, hot: list) -> DataFrame:
+    """Lookup rows of listed keys; NULL matches no lookup row, and a short list reaches the scan."""
+    named = [v for v in hot if v is not None]
+    if len(named) <= LITERALS:
+        return lookup.filter(F.col(on).isin(*named))
+    return split_heavy(lookup, on, named)[1]
 
 
 def lookup_join(
@@ -97,33 +118,36 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup whose key ``on`` is unique, keeping every row of ``df`` once.
 
-    Spark picks the join strategy for ordinary keys. Rows with a heavy key get their lookup values
-    from a broadcast of just those lookup rows (at most one per listed key) and pass the other join
-    under spread, unmatchable keys, so they are not gathered in one task.
+    Spark picks the join strategy for ordinary keys. Rows with a listed key pass it by: they get their values from
+    a broadcast of just the listed lookup rows, at most one per listed key, and are not shuffled.
     """
     hot = list(hot)
+    extra = _extra(lookup, on)
     if not hot:
-        return df.join(lookup, on, "left").select(*df.columns, *_extra(lookup, on))
+        return df.join(lookup, on, "left").select(*df.columns, *extra)
 
-    extra = _extra(lookup, on)
-    # A bare IN reaches the scan; NULL matches no lookup row. Grouping keeps it to one row per listed key
-    # even where the lookup's key is not unique after all.
-    listed = lookup.filter(F.col(on).isin(*(v for v in hot if v is not None)))
-    heavy_lookup = listed.groupBy(F.col(on).alias("_hot_key")).agg(
-        F.min(F.struct(*extra)).alias("_hot") if extra else F.count(F.lit(1)).alias("_hot")
-    )
-    usual_lookup = lookup.withColumnRenamed(on, "_join_key")
-    scattered = F.concat(F.lit(_UNMATCHABLE), _spread(df).cast("string"))
-    keyed = df.withColumn(
-        "_join_key", F.when(is_any_of(F.col(on), hot), scattered).otherwise(F.col(on))
-    )
-    joined = keyed.join(usual_lookup, "_join_key", "left").join(
-        F.broadcast(heavy_lookup), F.col(on) == F.col("_hot_key"), "left"
-    )
-    return joined.select(
-        *df.columns, *(F.coalesce(F.col("_hot").getField(c), F.col(c)).alias(c) for c in extra)
+    ordinary, heavy = split_heavy(df, on, hot)
+    # Grouping keeps it to one row per listed key even where the lookup's key is not unique after all.
+    few = _listed_rows(lookup, on, hot).groupBy(on).agg(F.min(F.struct(F.lit(0).alias("_"), *extra)).alias("_values"))
+    few = few.select(on, *(F.col("_values").getField(c).alias(c) for c in extra))
+    return (
+        ordinary.join(lookup, on, "left")
+        .select(*df.columns, *extra)
+        .unionByName(heavy.join(F.broadcast(few), on, "left").select(*df.columns, *extra))
     )
 
 
+def missing_rows(df: DataFrame, known: DataFrame, on: str, hot: Iterable = ()) -> DataFrame:
+    """Rows whose key is not in ``known``; NULL is in none. Listed keys are settled by a broadcast of those found."""
+    hot = list(hot)
+    keys = known.select(F.col(known.columns[0]).alias(on))
+    if not hot:
+        return df.join(keys, on, "left_anti").select(*df.columns)
+    ordinary, heavy = split_heavy(df, on, hot)
+    found = F.broadcast(_listed_rows(keys, on, hot).distinct())
+    rest = heavy.join(found, on, "left_anti").select(*df.columns)
+    return ordinary.join(keys, on, "left_anti").select(*df.columns).unionByName(rest)
+
+
 def _extra(lookup: DataFrame, on: str) -> list[str]:
     return [c for c in lookup.columns if c != on]

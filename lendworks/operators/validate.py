@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendworks.operators.rules import DUPLICATE_FLAG, Rule, reference_flag
-from lendworks.operators.skew import flag_duplicates, lookup_join
+from lendworks.operators.skew import flag_duplicates, lookup_join, missing_rows
 from lendworks.operators.standardize import standardize
 from lendworks.sources.registry import BRONZE_AUDIT, PARENT_PREFIX, SourceSpec
 
@@ -41,8 +41,13 @@ def with_duplicate_flag(df: DataFrame, spec: SourceSpec, hot: Iterable = ()) ->
 
 
 def dedupe_latest(df: DataFrame, spec: SourceSpec, hot: Iterable = ()) -> DataFrame:
-    """The surviving copy of each key."""
-    return with_duplicate_flag(df, spec, hot).filter(~F.col(DUPLICATE_FLAG)).drop(DUPLICATE_FLAG)
+    """The surviving copy of each key.
+
+    Only the first row is asked for, so each task keeps one row a key before the shuffle: a heavy key crosses it as
+    a row a task, listed in ``hot`` or not.
+    """
+    rank = F.row_number().over(Window.partitionBy(spec.key).orderBy(*latest_order(spec)))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def with_reference_flag(
@@ -65,12 +70,7 @@ def with_reference_flag(
 
 def orphans(df: DataFrame, column: str, parent_keys: DataFrame, hot: Iterable = ()) -> DataFrame:
     """Rows whose reference is missing from the parent; a NULL reference is an orphan."""
-    hot = list(hot)
-    if not hot:
-        known = parent_keys.select(F.col(parent_keys.columns[0]).alias(column))
-        return df.join(known, column, "left_anti").select(*df.columns)
-    flag = reference_flag(column)
-    return with_reference_flag(df, column, parent_keys, hot).filter(~F.col(flag)).drop(flag)
+    return missing_rows(df, parent_keys, column, hot)
 
 
 def _joined_codes(rules: Iterable[Rule], null_policy: str) -> Column:
@@ -109,12 +109,13 @@ def validate(
         *df.columns,
         *(PARENT_PREFIX + c for columns in spec.carried.values() for c in columns),
     ]
+    # References first: they are looked up on the scan, where setting listed keys apart costs no shuffle.
+    for column in spec.references:
+        df = with_reference_flag(df, column, parents[column], hot.get(column, ()))
     if not (spec.deduplicated and find_duplicates):
         df = df.withColumn(DUPLICATE_FLAG, F.lit(False))
     else:
         df = with_duplicate_flag(df, spec, hot.get(spec.key, ()))
-    for column in spec.references:
-        df = with_reference_flag(df, column, parents[column], hot.get(column, ()))
 
     judged = df.select(
         *kept,

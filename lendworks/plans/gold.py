@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendworks.functions import risk
 from lendworks.functions.measures import safe_pct, status_counts, zero_fill
 from lendworks.operators import rollups
-from lendworks.operators.skew import heavy_keys, lookup_join
+from lendworks.operators.skew import lookup_join
 from lendworks.plans.silver import SilverLayer
 from lendworks.sources.registry import SOURCES
 
@@ -207,7 +207,7 @@ class GoldLayer:
             rollups.loan_book(loans, self.loan_payments(), self.loan_delinquency()),
             self._silver.table("customers"),
             self._silver.table("branch_master"),
-            heavy_keys(loans, ["customer_id", "branch_id"]),
+            self._silver.hot("loan_accounts"),
         )
 
     def customer_loan_summary(self) -> DataFrame:

@@ -42,6 +42,15 @@ class SilverLayer:
         self._save = save
         self._null_policy = null_policy
         self._as_at = as_at
+        self._hot: dict[str, dict[str, list]] = {}
+
+    def hot(self, source: str) -> dict[str, list]:
+        """Heavy keys of a feed's own key and references, sketched once for all that asks."""
+        if source not in self._hot:
+            spec = SOURCES[source]
+            keys = [*([spec.key] if spec.deduplicated else []), *spec.references]
+            self._hot[source] = heavy_keys(standardize(self._bronze[source], spec), keys)
+        return self._hot[source]
 
     def validated(self, source: str) -> DataFrame:
         return self._save(f"validated_{source}", lambda: self._validate(source), (ACCEPTED,))
@@ -52,10 +61,7 @@ class SilverLayer:
             column: self.keys(parent, *spec.carried.get(column, ()))
             for column, parent in spec.references.items()
         }
-        bronze = self._bronze[source]
-        keys = [*([spec.key] if spec.deduplicated else []), *spec.references]
-        hot = heavy_keys(standardize(bronze, spec), keys)
-        return validate(bronze, spec, parents, hot, self._null_policy, self._as_at)
+        return validate(self._bronze[source], spec, parents, self.hot(source), self._null_policy, self._as_at)
 
     def build(self) -> None:
         """Save all validated tables; sources whose parents are ready run side by side.

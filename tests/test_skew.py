@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lendworks import sizing
-from lendworks.operators.skew import flag_duplicates, heavy_keys, is_any_of, lookup_join
+from lendworks.operators.skew import flag_duplicates, heavy_keys, is_any_of, lookup_join, missing_rows
 from tests.helpers import rows
 
 
@@ -60,22 +62,70 @@ def test_hot_keys_do_not_change_which_rows_are_duplicates(skewed, hot):
     assert survivors.filter("count != 1").count() == 0
 
 
-def test_no_window_group_holds_a_whole_heavy_key(skewed):
-    """One pass over the input; the ranked groups of the heavy key are per salt, not per key."""
-    spread = flag_duplicates(skewed, "k", [F.col("v").desc()], "dup", ["hot"])
-    plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [row_number()") == 2  # per salt, then the salts' best
-    assert plan.count("Range (") == 1
-    assert "hashpartitioning(k" in plan and "_salt" in plan
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_heavy_keys_cross_one_shuffle(spark, tmp_path, skewed):
+    skewed.write.parquet(str(tmp_path / "feed"))
+    stored = spark.read.parquet(str(tmp_path / "feed"))
+    flagged = flag_duplicates(stored, "k", [F.col("v").desc()], "dup", ["hot"])
+    plan = plan_of(flagged)
+    assert "WindowGroupLimit" in plan and "partial_count" in plan and "_salt" not in plan
+    # Rows of the feed are dealt once, ordinary ones by key, listed ones by content and merged map-side before.
+    by_key = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(k#\d+, \d+\)", line)]
+    assert len(by_key) == 3  # ordinary rows, and a row a task of the listed key, for single and for split copies
+    assert rows(flagged) == rows(flag_duplicates(stored, "k", [F.col("v").desc()], "dup"))
+
+
+@pytest.mark.parametrize("copies", [1, 7, 8, 9, 300])
+def test_many_identical_copies_leave_one_survivor(spark, monkeypatch, copies):
+    from lendworks.operators import skew
+
+    monkeypatch.setattr(skew, "COPIES", 8)
+    same = spark.range(0, copies, 1, 3).selectExpr("'hot' AS k", "5 AS v")
+    other = spark.createDataFrame([("hot", 4), ("hot", 4), ("b", 1), (None, 2), (None, 2)], "k string, v int")
+    df = same.unionByName(other)
+    for hot in (["hot"], ["hot", None]):
+        flagged = flag_duplicates(df, "k", [F.col("v").desc()], "dup", hot)
+        assert flagged.count() == copies + 5
+        assert rows(flagged.filter("NOT dup")) == rows(spark.createDataFrame([("hot", 5, False), ("b", 1, False), (None, 2, False)], flagged.schema))
+        assert flagged.filter("dup AND k = 'hot' AND v = 5").count() == copies - 1
+
 
+def test_long_lists_travel_as_a_broadcast(spark, skewed, monkeypatch):
+    from lendworks.operators import skew
 
-def test_a_heavy_key_read_by_one_task_gets_many_salts(spark):
-    from lendworks.operators.skew import _spread
+    plain = flag_duplicates(skewed, "k", [F.col("v").desc()], "dup")
+    lookup = skewed.select("k").distinct().filter("k is not null").withColumn("name", F.concat(F.lit("n-"), "k"))
+    monkeypatch.setattr(skew, "LITERALS", 1)
+    spread = flag_duplicates(skewed, "k", [F.col("v").desc()], "dup", ["hot", None, "k1"])
+    assert rows(spread) == rows(plain) and " IN (" not in plan_of(spread)
+    assert rows(lookup_join(skewed, lookup, "k", ["hot", None, "k1"])) == rows(skewed.join(lookup, "k", "left"))
 
-    one_task = spark.range(0, 1000, 1, 1).selectExpr("'hot' AS k", "id AS v")
-    assert one_task.select(_spread(one_task).alias("s")).distinct().count() > 20
-    copies = spark.range(0, 1000, 1, 20).selectExpr("'hot' AS k")
-    assert copies.select(_spread(copies).alias("s")).distinct().count() > 5
+
+@pytest.mark.parametrize("hot", [[], ["hot"], ["hot", None], ["absent"]])
+def test_missing_rows_by_anti_joins(skewed, hot):
+    known = skewed.select("k").distinct().filter("k is not null and k not in ('k5', 'k7')")
+    for parents in (known, known.filter("k <> 'hot'")):
+        found = missing_rows(skewed, parents, "k", hot)
+        plan = plan_of(found)
+        assert plan.count("LeftAnti") == (2 if hot else 1) and "LeftOuter" not in plan
+        assert rows(found) == rows(skewed.join(parents, "k", "left_anti"))
+
+
+def test_hot_rows_pass_the_shuffle_of_a_lookup_by(spark, tmp_path, skewed):
+    skewed.write.parquet(str(tmp_path / "feed"))
+    stored = spark.read.parquet(str(tmp_path / "feed"))
+    lookup = stored.select("k").distinct().withColumn("name", F.lit("x"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(lookup_join(stored, lookup, "k", ["hot"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    hot_side = plan.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+    assert "SortMergeJoin" in plan and "Exchange" not in hot_side and "FileScan" in hot_side
 
 
 def test_a_lookup_of_heavy_keys_reaches_the_scan_and_stays_bounded(spark, skewed, tmp_path):
