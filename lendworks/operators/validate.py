@@ -181,8 +181,8 @@ def broken_rules(df: DataFrame, spec: SourceSpec, *kinds: str, null_policy: str
     return hits.select("source_table", "record_id", F.explode(F.split("_codes", ",")).alias("rule_code"))
 
 
-def rejected(validated: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row per record and broken rule, in the envelope shared by all sources."""
+def rejected(validated: DataFrame, spec: SourceSpec, carry: Iterable[str] = ()) -> DataFrame:
+    """One row per record and broken rule, in the envelope shared by all sources; ``carry`` columns come along."""
     reasons = F.create_map(*(F.lit(v) for r in spec.rules for v in (r.code, r.reason)))
     payload = [c for c in (*spec.columns, *BRONZE_AUDIT) if c in validated.columns]
     per_record = validated.filter(~F.col(ACCEPTED)).select(
@@ -190,6 +190,7 @@ def rejected(validated: DataFrame, spec: SourceSpec) -> DataFrame:
         F.to_json(F.struct(*payload)).alias("raw_record_json"),
         F.col("silver_processed_timestamp").alias("rejected_timestamp"),
         F.explode(BROKEN_RULES).alias("rule_code"),
+        *carry,
     )
     return per_record.select(
         F.lit(spec.bronze_table).alias("source_table"),
@@ -198,6 +199,7 @@ def rejected(validated: DataFrame, spec: SourceSpec) -> DataFrame:
         reasons[F.col("rule_code")].alias("rejection_reason"),
         "rejected_timestamp",
         "raw_record_json",
+        *carry,
     )
 
 

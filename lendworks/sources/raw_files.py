@@ -27,6 +27,13 @@ def read_raw(spark: SparkSession, spec: SourceSpec, folder: str, keep_corrupt: b
     return with_source_file(reader.csv(folder))
 
 
+def malformed_lines(rows: DataFrame, spec: SourceSpec) -> DataFrame:
+    """``source, source_file_name, record_id, line`` of rows read with the text of malformed lines."""
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(
+        F.lit(spec.name).alias("source"), "source_file_name", F.col(spec.key).alias("record_id"), F.col(CORRUPT).alias("line")
+    )
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file_name"))
 

@@ -18,7 +18,26 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if warehouse.startswith("file:") and not local:
+        raise ValueError("set spark.checkpoint.dir, or a warehouse that all executors share, for intermediate tables")
+    return warehouse + "/_staging"
+
+
+def _located(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path, fs = _located(spark, folder)
+    return fs.exists(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path, fs = _located(spark, folder)
+    fs.delete(path, True)
 
 
 class Stage:
