@@ -1,16 +1,17 @@
 """Line dedup by winnowing over line hashes.
 
-The non-blank lines of a document, stripped, form a sequence of hashes. A window starts at every line and is
-the shortest run from there with at least ``min_words`` words. Of each window the line with the smallest hash
-is selected, the last of equals: equal windows select equal lines, so every repeated run of that many words
-is sure to share a selected line, while far fewer lines than windows are selected. Only selected lines whose
-hash occurs again are looked at further. Positions are joined on the windows' contents: each window meets the
-first equal one, in the order of document id, text and line. The match is extended line by line both ways as
-long as the lines agree, and all lines of the later run are deleted, with the blank lines among them. The lines
-around a window travel with it and end most matches; one that goes on beyond them, where the next window first
-occurs elsewhere, is followed to its end through the line hashes of both documents.
-
-A window's content is its 128-bit hash, so a line that thousands share joins by window, never by pairs.
+The non-blank lines of a document, stripped, form a sequence of hashes. A window is a shortest run of at least
+``min_words`` words: one starts at every line, and one, mirrored, ends at every line. Of each window the line with
+the smallest hash is selected, the last of equals: equal windows select equal lines, so every repeated run of that
+many words is sure to share a selected line, while far fewer lines than windows are selected. The positions of
+selected lines are joined by line hash; where one occurs again, its windows are verified by content, each against the
+first equal one in the order of document id, text and line. Forward and mirrored windows carry a match to both its
+ends, whichever documents hold its parts first: a line goes if and only if it lies in a run of at least ``min_words``
+words that also begins earlier. Blank lines among the lines of such a run go with them.
+
+A window's content is the 128-bit hash of its lines' 128-bit hashes. Keys that hold more rows than a shuffle task
+should (line hashes, contents) are counted first, and met through a broadcast of just those keys, of which there are
+fewer than shuffle tasks; no key's rows are gathered, and a line that thousands share never makes pairs.
 
 Defined results: null and empty texts and those below ``min_words`` words are kept as they are. Rows of one id
 and text count as one document: each gets the same lines deleted. A document may lose all lines and is then
@@ -26,291 +27,131 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lendworks.llm.batches import bounded_batches, packed, slices, texts_of, unpacked
+from lendworks.sizing import shuffle_width
 from lendworks.staging import Stage
 
 MIN_WORDS = 50
-#: Parts that the windows of one content are joined in.
-SALTS = 8
 
-WINDOW = "struct<at:int,length:int,digest:binary>"
+WINDOW = "struct<first_line:int,last_line:int,digest:binary>"
+DIGEST_BYTES = 16
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
     return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip())]
 
 
-def hashes_of(lines: list[tuple[int, str]]) -> list[int]:
-    from xxhash import xxh64_intdigest
-
-    return [xxh64_intdigest(s.encode("utf-8")) - (1 << 63) for _, s in lines]
-
-
-def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list, list[int], list[int], int, int]]:
-    """For each selected line: its hash, the windows that select it, and the lines around them.
-
-    Windows are ``at, length, digest`` with ``at`` counting from the first of the lines around; those are given
-    as hashes and as line numbers. They reach ``min_words`` words beyond the windows on either side. Last come the
-    place of the first of them among the document's lines, and how many those are.
-    """
+def windows_of(words: list[int], min_words: int) -> Iterator[tuple[int, int]]:
+    """Shortest runs ``start, end`` of lines with at least so many words, from every line and up to every line."""
+    upto = [0, *accumulate(words)]
+    n, end, starts = len(words), 0, {}
+    for start in range(n):
+        while end < n and upto[end] - upto[start] < min_words:
+            end += 1
+        if upto[end] - upto[start] < min_words:
+            break
+        starts[end] = start  # the last start with this end is the mirrored window
+        yield start, end
+    start = 0
+    for end in range(1, n + 1):
+        if upto[end] < min_words:
+            continue
+        while upto[end] - upto[start + 1] >= min_words:
+            start += 1
+        if starts.get(end) != start:
+            yield start, end
+
+
+def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list[dict]]]:
+    """For each selected line its hash and the windows that select it, by the numbers of their first and last lines."""
     from xxhash import xxh3_128_digest
 
     lines = lines_of(text)
     words = [len(s.split()) for _, s in lines]
-    upto = [0, *accumulate(words)]
-    if upto[-1] < min_words:
+    if sum(words) < min_words:
         return
-    numbers = [i for i, _ in lines]
-    hashes = hashes_of(lines)
-    chosen: dict[int, list[tuple[int, int]]] = {}
-    end = 0
-    for start in range(len(lines)):
-        while end < len(lines) and upto[end] - upto[start] < min_words:
-            end += 1
-        if upto[end] - upto[start] < min_words:
-            break
+    digests = [xxh3_128_digest(s.encode("utf-8")) for _, s in lines]
+    hashes = [int.from_bytes(d[:8], "big", signed=True) for d in digests]
+    whole = b"".join(digests)
+    chosen: dict[int, list[dict]] = {}
+    for start, end in windows_of(words, min_words):
         place = min(range(start, end), key=lambda i: (hashes[i], -i))
-        chosen.setdefault(place, []).append((start, end))
-    for place, windows in chosen.items():
-        first, last = windows[0][0], windows[-1][1]
-        while first > 0 and upto[windows[0][0]] - upto[first] < min_words:
-            first -= 1
-        while last < len(lines) and upto[last] - upto[windows[-1][1]] < min_words:
-            last += 1
-        found = [
-            (s - first, e - s, xxh3_128_digest("\n".join(t for _, t in lines[s:e]).encode("utf-8"))) for s, e in windows
-        ]
-        yield hashes[place], found, hashes[first:last], numbers[first:last], first, len(lines)
+        digest = xxh3_128_digest(whole[DIGEST_BYTES * start : DIGEST_BYTES * end])
+        window = {"first_line": lines[start][0], "last_line": lines[end - 1][0], "digest": digest}
+        chosen.setdefault(place, []).append(window)
+    for place, found in chosen.items():
+        yield hashes[place], found
 
 
 def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, text_hash, line_hash, windows, hashes, numbers, start, total``: a row per selected line."""
+    """``doc_id, text_hash, line_hash, windows``: a row per selected line."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {kind}, text_hash bigint, line_hash bigint, windows array<{WINDOW}>, hashes array<bigint>, numbers array<int>,"
-        " start int, total int"
-    )
-    names = ["line_hash", "windows", "hashes", "numbers", "start", "total"]
-    kinds = [
-        pa.int64(),
-        pa.list_(pa.struct([("at", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())])),
-        pa.list_(pa.int64()),
-        pa.list_(pa.int32()),
-        pa.int32(),
-        pa.int32(),
-    ]
+    window = pa.struct([("first_line", pa.int32()), ("last_line", pa.int32()), ("digest", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
-            owner, rows = [], []
+            owner, hashes, windows = [], [], []
             for i, text in enumerate(texts_of(batch.column(2))):
-                for line_hash, windows, *around in selected_lines(text, min_words):
+                for line_hash, found in selected_lines(text, min_words):
                     owner.append(i)
-                    rows.append((line_hash, [{"at": a, "length": n, "digest": d} for a, n, d in windows], *around))
+                    hashes.append(line_hash)
+                    windows.append(found)
             take = pa.array(owner, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take)]
-                + [pa.array([r[i] for r in rows], kinds[i]) for i in range(len(kinds))],
-                ["doc_id", "text_hash", *names],
-            )
-
-    return docs.mapInArrow(run, schema)
-
-
-def all_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, hashes, numbers`` of all lines: a row per document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            lines = [lines_of(text) for text in texts_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([hashes_of(own) for own in lines], pa.list_(pa.int64())),
-                    pa.array([[i for i, _ in own] for own in lines], pa.list_(pa.int32())),
+                    batch.column(0).take(take),
+                    batch.column(1).take(take),
+                    pa.array(hashes, pa.int64()),
+                    pa.array(windows, pa.list_(window)),
                 ],
-                ["doc_id", "text_hash", "hashes", "numbers"],
+                ["doc_id", "text_hash", "line_hash", "windows"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, text_hash bigint, hashes array<bigint>, numbers array<int>")
-
-
-def leading_equal(a: Column, b: Column) -> Column:
-    """How many elements from the start are pairwise equal."""
-    n = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: x == y)
-    other = F.array_position(same, False)
-    return F.when(other == 0, n.cast("long")).otherwise(other - 1).cast("int")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash bigint, line_hash bigint, windows array<{WINDOW}>")
 
 
-def first_matches(docs: DataFrame, min_words: int, stage: Stage) -> DataFrame:
-    """Each later window and the first equal one, extended as far as the lines around them reach.
+def met(rows: DataFrame, found: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``found`` (unique by ``key``, ``n`` rows each) where the key is found.
 
-    ``line`` and ``holder.line`` are where the two start among the lines of their documents, ``first_line`` and
-    ``last_line`` the numbers of the run's. ``reached`` is set if the lines agree to the end of those around while
-    both documents go on: the place of the first line not compared.
+    Keys with more than a shuffle task's share of ``total`` rows are fewer than shuffle tasks: they are broadcast,
+    and their rows are not dealt out by key at all.
     """
-    prints = stage.table("fingerprints", lambda: fingerprints(docs, min_words))
-    again = prints.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line_hash")
-    windows = prints.join(again, "line_hash", "left_semi").select(
-        "doc_id", "text_hash", "hashes", "numbers", "start", "total", F.explode("windows").alias("w")
-    )
-    windows = windows.select(
-        F.col("w.digest").alias("digest"),
-        F.col("doc_id").isNotNull().alias("has_id"),
-        "doc_id",
-        "text_hash",
-        (F.col("start") + F.col("w.at")).alias("line"),
-        F.reverse(F.slice("hashes", F.lit(1), F.col("w.at"))).alias("before"),
-        F.slice("hashes", F.col("w.at") + F.col("w.length") + 1, F.size("hashes")).alias("after"),
-        F.col("w.at").alias("at"),
-        F.col("w.length").alias("length"),
-        "numbers",
-        "total",
-    )
-    place = F.struct("has_id", "doc_id", "text_hash", "line")
-    # The lines around follow from the place, so the smallest struct is the first window's.
-    firsts = (
-        windows.groupBy("digest")
-        .agg(F.min(F.struct(place.alias("place"), "before", "after", "total")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("digest", "first", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
-    )
-    # Every window of a passage that very many documents share meets the same first one: under one of SALTS keys.
-    salted = windows.withColumn("place", place).withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int"))
-    matches = salted.join(firsts, ["digest", "salt"]).filter(F.col("place") > F.col("first.place"))
-    back = leading_equal(F.col("before"), F.col("first.before"))
-    ahead = leading_equal(F.col("after"), F.col("first.after"))
-    carried = F.least(F.size("after"), F.size("first.after"))
-    left = F.least(F.col("total") - F.col("line"), F.col("first.total") - F.col("first.place.line")) - F.col("length")
-    return matches.select(
-        "doc_id",
-        "text_hash",
-        "line",
-        F.element_at("numbers", F.col("at") + 1 - back).alias("first_line"),
-        F.element_at("numbers", F.col("at") + F.col("length") + ahead).alias("last_line"),
-        F.when((ahead == carried) & (ahead < left), F.col("line") + F.col("length") + ahead).alias("reached"),
-        F.struct("first.place.doc_id", "first.place.text_hash", "first.place.line").alias("holder"),
-        "total",
-    ).distinct()
-
-
-def joined(matches: list[dict]) -> tuple[list[dict], list[dict]]:
-    """One document's matches as runs that do not overlap, and which of them go on unseen.
-
-    The latter are the last of each chain of matches with one document at one distance, by that pair: ``match`` is
-    the place of one in the list, ``points`` are where the lines not compared begin.
-    """
-    runs: list[dict] = []
-    for m in sorted(matches, key=lambda m: m["first_line"]):
-        if runs and m["first_line"] <= runs[-1]["last_line"] + 1:
-            runs[-1]["last_line"] = max(runs[-1]["last_line"], m["last_line"])
-        else:
-            runs.append({"first_line": m["first_line"], "last_line": m["last_line"]})
-    sides = [(m["holder"]["doc_id"], m["holder"]["text_hash"], m["line"] - m["holder"]["line"]) for m in matches]
-    met = {(side, m["line"]) for side, m in zip(sides, matches)}
-    points: dict[tuple, dict] = {}
-    for i, (side, m) in enumerate(zip(sides, matches)):
-        if m["reached"] is not None and (side, m["line"] + 1) not in met:
-            points.setdefault(side, {"match": i, "points": []})["points"].append(m["reached"])
-    return runs, list(points.values())
-
-
-def followed(own: np.ndarray, other: np.ndarray, points: list[int]) -> list[tuple[int, int]]:
-    """From each point, at least the first, to where the lines differ; ``own`` and ``other`` begin at the first."""
-    n = min(len(own), len(other))
-    differ = np.append(np.flatnonzero(own[:n] != other[:n]), n)
-    starts = np.array(points) - min(points)
-    ends = differ[np.searchsorted(differ, np.minimum(starts, n))]
-    return [(a + min(points), b + min(points)) for a, b in zip(starts.tolist(), ends.tolist()) if b > a]
+    most = max(total // max(shuffle_width(rows.sparkSession), 1), 1)
+    heavy = F.broadcast(found.filter(F.col("n") > most).drop("n"))
+    usual = rows.join(heavy.select(key), key, "left_anti").join(found.filter(F.col("n") <= most).drop("n"), key)
+    return usual.unionByName(rows.join(heavy, key))
 
 
 def repeated_runs(docs: DataFrame, min_words: int, stage: Stage) -> DataFrame:
-    """``doc_id, text_hash, runs``: the first and last lines of each document's later runs, extended."""
-    runs_kind = "array<struct<first_line:int,last_line:int>>"
-    pairs = pa.list_(pa.struct([("first_line", pa.int32()), ("last_line", pa.int32())]))
-    asked = pa.list_(pa.struct([("match", pa.int32()), ("points", pa.list_(pa.int32()))]))
-
-    @F.arrow_udf(f"struct<runs:{runs_kind},asks:array<struct<match:int,points:array<int>>>>")
-    def join_runs(found: pa.Array) -> pa.Array:
-        made = [joined(matches) for matches in found.to_pylist()]
-        return pa.array([{"runs": r, "asks": a} for r, a in made], pa.struct([("runs", pairs), ("asks", asked)]))
-
-    matches = F.struct("line", "first_line", "last_line", "reached", "holder", "total")
-    found = (
-        first_matches(docs, min_words, stage)
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(matches).alias("matches"))
-        .withColumn("made", join_runs("matches"))
-    )
-
-    def ask(a: Column) -> Column:
-        match = F.element_at("matches", a["match"] + 1)
-        return F.struct(
-            match["holder"].alias("holder"),
-            (match["line"] - match["holder"]["line"]).alias("distance"),
-            F.array_min(a["points"]).alias("start"),
-            match["total"].alias("total"),
-            a["points"].alias("points"),
-        )
-
-    found = found.select("doc_id", "text_hash", F.col("made.runs").alias("runs"), F.transform("made.asks", ask).alias("asks"))
-    found = stage.table("found", lambda: found)
-    asks = found.select("doc_id", "text_hash", F.explode("asks").alias("ask"))
-    if asks.isEmpty():
-        return found.select("doc_id", "text_hash", "runs")
-
-    asks = asks.select("doc_id", "text_hash", "ask.*").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
-    )
-    lines = stage.table("lines", lambda: all_lines(docs)).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    # Rows of one id and text have the same lines.
-    once = lambda held: held.groupBy("_id", "_hash").agg(*(F.any_value(c).alias(c) for c in ("hashes", "numbers")))
-
-    def same(id: str, text_hash: str) -> Column:
-        return F.col(id).eqNullSafe(F.col("_id")) & (F.col(text_hash) == F.col("_hash"))
-
-    holders = asks.select(F.col("holder.doc_id").alias("h_id"), F.col("holder.text_hash").alias("h_hash")).distinct()
-    holders = once(lines.join(holders, same("h_id", "h_hash"), "left_semi")).select(
-        "_id", "_hash", "hashes", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("_salt")
-    )
-    # Of the holder's lines no more than the asking document has left.
-    other = F.slice("hashes", F.col("start") - F.col("distance") + 1, F.col("total") - F.col("start"))
-    asks = asks.join(holders, same("holder.doc_id", "holder.text_hash") & (F.col("salt") == F.col("_salt"))).select(
-        "doc_id", "text_hash", "start", "points", other.alias("other")
-    )
-    own = once(lines.join(asks.select("doc_id", "text_hash").distinct(), same("doc_id", "text_hash"), "left_semi"))
-
-    @F.arrow_udf(runs_kind)
-    def follow(own: pa.Array, numbers: pa.Array, other: pa.Array, points: pa.Array) -> pa.Array:
-        made = []
-        for a, n, b, p in zip(own, numbers, other, points.to_pylist()):
-            n = n.values.to_numpy()
-            ends = followed(a.values.to_numpy()[min(p) :], b.values.to_numpy(), p)
-            made.append([{"first_line": n[i - 1], "last_line": n[j - 1]} for i, j in ends])
-        return pa.array(made, pairs)
-
-    further = asks.join(own, same("doc_id", "text_hash")).select(
-        "doc_id", "text_hash", follow("hashes", "numbers", "other", "points").alias("runs")
+    """``doc_id, text_hash, runs``: first and last lines of each document's windows that occur earlier."""
+    prints = stage.table("fingerprints", lambda: fingerprints(docs, min_words))
+    again = prints.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = stage.table("again", lambda: again)
+    windows = met(prints, again, "line_hash", prints.count()).select("doc_id", "text_hash", F.explode("windows").alias("w"))
+    windows = stage.table(
+        "windows",
+        lambda: windows.select(
+            "w.digest", F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "text_hash", "w.first_line").alias("place"), "w.last_line"
+        ),
     )
-    both = found.select("doc_id", "text_hash", "runs").unionByName(further)
-    return both.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    firsts = windows.groupBy("digest").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    firsts = stage.table("firsts", lambda: firsts)
+    later = met(windows, firsts, "digest", windows.count()).filter(F.col("place") > F.col("first"))
+    # Once each, however often a document's row is repeated.
+    runs = later.select("place.doc_id", "place.text_hash", "place.first_line", "last_line").distinct()
+    return runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first_line", "last_line")).alias("runs"))
 
 
-def without_lines(text: str, runs: list[dict]) -> tuple[str, int]:
+def without_lines(text: str, first: np.ndarray, last: np.ndarray) -> tuple[str, int]:
     """The text without the lines of the runs, and how many lines went."""
     lines = text.split("\n")
-    gone = bytearray(len(lines))
-    reached = -1
-    for run in sorted(runs, key=lambda r: r["first_line"]):
-        for i in range(max(run["first_line"], reached + 1), run["last_line"] + 1):
-            gone[i] = 1
-        reached = max(reached, run["last_line"])
-    return "\n".join(line for line, g in zip(lines, gone) if not g), sum(gone)
+    edges = np.zeros(len(lines) + 1, np.int64)
+    np.add.at(edges, first, 1)
+    np.add.at(edges, last + 1, -1)
+    gone = np.cumsum(edges[:-1]) > 0
+    return "\n".join(line for line, g in zip(lines, gone.tolist()) if not g), int(gone.sum())
 
 
 def line_dedup(
@@ -340,9 +181,13 @@ def line_dedup(
 
     @F.arrow_udf("struct<text:string,gone:int>")
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
-        made = [
-            None if t is None or r is None else without_lines(t, r) for t, r in zip(texts.to_pylist(), found.to_pylist())
-        ]
+        made: list[tuple[str, int] | None] = []
+        for text, runs in zip(texts, found):
+            if not text.is_valid or not runs.is_valid:
+                made.append(None)
+                continue
+            first, last = (runs.values.field(c).to_numpy() for c in ("first_line", "last_line"))
+            made.append(without_lines(text.as_py(), first, last))
         return pa.array(
             [None if m is None else {"text": m[0], "gone": m[1]} for m in made],
             pa.struct([("text", pa.string()), ("gone", pa.int32())]),

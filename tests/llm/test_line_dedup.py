@@ -8,38 +8,31 @@ from tests.llm.helpers import awkward, documents, none
 
 
 def brute(rows: list[tuple], min_words: int) -> list[tuple]:
-    """(text, lines removed) per row, with rows in id order, nulls first; equal rows count as one."""
+    """(text, lines removed) per row: a line goes if it lies in a run of enough words that also begins earlier.
+
+    Every pair of equal lines that no equal lines precede begins a longest common run; of its two places the later
+    one goes. Rows in id order, nulls first; equal rows count as one.
+    """
     order = sorted({(i is not None, i or 0, t or "") for i, t in rows})
     lines = {k: [(n, s) for n, line in enumerate(k[2].split("\n")) if (s := line.strip())] for k in order}
-
-    def windows(own):
-        for s in range(len(own)):
-            words = 0
-            for e in range(s, len(own)):
-                words += len(own[e][1].split())
-                if words >= min_words:
-                    yield s, e + 1
-                    break
-
-    first = {}
+    gone: dict = {k: set() for k in order}
+    seen: dict[str, list] = {}
     for k in order:
-        for s, e in windows(lines[k]):
-            first.setdefault(tuple(x for _, x in lines[k][s:e]), (k, s, e))
-    out = {}
-    for k in order:
-        own, gone = lines[k], set()
-        for s, e in windows(own):
-            key, fs, fe = first[tuple(x for _, x in own[s:e])]
-            if (key, fs) == (k, s):
-                continue
-            other = lines[key]
-            while s > 0 and fs > 0 and own[s - 1][1] == other[fs - 1][1]:
-                s, fs = s - 1, fs - 1
-            while e < len(own) and fe < len(other) and own[e][1] == other[fe][1]:
-                e, fe = e + 1, fe + 1
-            gone |= set(range(own[s][0], own[e - 1][0] + 1))
-        out[k] = ("\n".join(t for n, t in enumerate(k[2].split("\n")) if n not in gone), len(gone))
-    return [(i, *out[(i is not None, i or 0, t or "")]) for i, t in rows]
+        own = lines[k]
+        for i, (_, line) in enumerate(own):
+            for key, j in seen.get(line, ()):
+                other = lines[key]
+                if i and j and own[i - 1][1] == other[j - 1][1]:
+                    continue
+                n = words = 0
+                while i + n < len(own) and j + n < len(other) and own[i + n][1] == other[j + n][1]:
+                    words += len(own[i + n][1].split())
+                    n += 1
+                if words >= min_words:
+                    gone[k] |= set(range(own[i][0], own[i + n - 1][0] + 1))
+            seen.setdefault(line, []).append((k, i))
+    kept = {k: "\n".join(t for n, t in enumerate(k[2].split("\n")) if n not in gone[k]) for k in order}
+    return [(i, kept[key], len(gone[key])) for i, t in rows for key in [(i is not None, i or 0, t or "")]]
 
 
 def test_against_brute_force(spark):
@@ -98,6 +91,29 @@ def test_a_run_is_followed_beyond_a_passage_that_a_third_document_holds_first(sp
     head, shared, tail = (" ".join(f"{w}{i}" for i in range(n)) for w, n in (("x", 60), ("r", 95), ("y", 10)))
     rows = [(1, f"a\n{shared}"), (2, f"{head}\n{shared}\n{tail}"), (3, f"{head}\n{shared}\n{tail}")]
     assert removed(spark, rows) == [(1, rows[0][1], 0), (2, f"{head}\n{tail}", 1), (3, "", 3)]
+    # The last lines of a run go as well where its first ones were first met in a document that lacks them.
+    rows = [(1, f"a\n{shared}"), (2, f"{shared}\n{tail}"), (3, f"{shared}\n{tail}")]
+    assert removed(spark, rows) == [(1, rows[0][1], 0), (2, tail, 1), (3, "", 2)]
+
+
+def test_windows_reach_every_line_of_every_run():
+    rng = random.Random(8)
+    for _ in range(300):
+        words = [rng.randint(1, 9) for _ in range(rng.randint(0, 20))]
+        found = list(line_dedup.windows_of(words, 12))
+        every = [(s, e) for s in range(len(words)) for e in range(s + 1, len(words) + 1) if sum(words[s:e]) >= 12]
+        shortest = [(s, e) for s, e in every if sum(words[s : e - 1]) < 12 or sum(words[s + 1 : e]) < 12]
+        assert sorted(found) == sorted(set(found)) and set(found) <= set(shortest)
+        for s, e in every:
+            assert {i for a, b in found if s <= a and b <= e for i in range(a, b)} == set(range(s, e))
+
+
+def test_hot_lines_and_windows_are_met_through_a_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    passage = "\n".join(" ".join(f"p{i}{j}" for j in range(6)) for i in range(4))
+    rows = [(i, f"own {i}\n{passage}\n" + " ".join(rng.choice("abc") for _ in range(4))) for i in range(300)]
+    monkeypatch.setattr(line_dedup, "shuffle_width", lambda _: 40)
+    assert removed(spark, rows, min_words=12) == sorted(brute(rows, 12), key=repr)
 
 
 def test_runs_through_passages_of_other_documents_against_brute_force(spark):
