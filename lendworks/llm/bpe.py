@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.pieces import BYTE_CHARACTERS, PieceCache, as_byte_characters, packed_ids
 
-#: Texts of ASCII and Latin-1 letters only; for these SIMPLE_SPLIT equals the general split pattern.
+#: Fixed value: the split pattern that this module knows. Others are honoured, at the library's own pace.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of ASCII and Latin-1 letters only; for these SIMPLE_SPLIT equals KNOWN_PATTERN.
 SIMPLE_TEXT = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
 SIMPLE_SPLIT = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+"
@@ -64,17 +66,18 @@ class Codec:
             self.bytes_of[rank] = token
         self.lengths = np.array([len(t) for t in self.bytes_of], np.int64)
         self.pieces = PieceCache(self._piece)
+        self.known = pattern == KNOWN_PATTERN
 
     def _piece(self, piece: str) -> bytes:
         return packed_ids([t.id for t in self.model.tokenize(as_byte_characters(piece))])
 
     def encode(self, text: str) -> np.ndarray:
-        if SIMPLE_TEXT(text):
+        if self.known and SIMPLE_TEXT(text):
             packed = self.pieces.ids(SIMPLE_SPLIT(text))
         else:
-            packed = b"".join(
-                packed_ids(self.tokenizer.encode(part, add_special_tokens=False).ids) for part in parts(text)
-            )
+            # Where another pattern's matches end is not known, so its texts are not cut.
+            cut = parts(text) if self.known else [text]
+            packed = b"".join(packed_ids(self.tokenizer.encode(part, add_special_tokens=False).ids) for part in cut)
         return np.frombuffer(packed, np.uint32).astype(np.int32)
 
     def starts(self, text: str, ids: np.ndarray) -> np.ndarray:

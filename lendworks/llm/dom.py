@@ -14,7 +14,7 @@ _TOKEN = re.compile(
     r"""|</?[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|data-kept)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # The element names of HTML by their role, and usual words of class and id attributes.
@@ -59,12 +59,34 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [-1])
     depths: list[int] = field(default_factory=lambda: [0])
     names: list[frozenset[str]] = field(default_factory=lambda: [frozenset()])
+    #: What is known of an element's part in a page made for training, see KnownPage.
     kept: list[int | None] = field(default_factory=lambda: [None])
     #: Text pieces in page order with their element; a None text is the border of a block.
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+class KnownPage(str):
+    """A page made for training. ``marked`` is the same page with the attribute MARK on elements of known part.
+
+    Parts are told by the elements' order, so nothing in the page itself can be mistaken for them.
+    """
+
+    MARK = re.compile(r' part-kept="([01])"')
+
+    def __new__(cls, marked: str) -> KnownPage:
+        page = super().__new__(cls, cls.MARK.sub("", marked))
+        page.marked = marked
+        return page
+
+
 def parse(html: str) -> Page:
+    page = _parsed(html, None)
+    if isinstance(html, KnownPage):
+        page.kept = _parsed(html.marked, KnownPage.MARK).kept
+    return page
+
+
+def _parsed(html: str, mark: re.Pattern | None) -> Page:
     page = Page()
     stack = [0]
     open_tags: dict[str, int] = {}
@@ -113,12 +135,10 @@ def parse(html: str) -> Page:
         node = len(page.tags)
         names, kept = set(), None
         if "=" in token["attrs"]:
-            for name, *values in _ATTRIBUTE.findall(token["attrs"]):
-                value = values[0] or values[1] or values[2]
-                if name.lower() == "data-kept":
-                    kept = int(value)
-                else:
-                    names.update(w.lower() for w in _WORDS.findall(value))
+            for values in _ATTRIBUTE.findall(token["attrs"]):
+                names.update(w.lower() for value in values for w in _WORDS.findall(value))
+            if mark is not None and (known := mark.search(token["attrs"])):
+                kept = int(known[1])
         page.tags.append(tag)
         page.parents.append(stack[-1])
         page.depths.append(len(stack))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendworks.llm.batches import bounded_batches, slices, texts_of
-from lendworks.llm.dom import FEATURES, MAIN_TAGS, Page, features, parse, text_of
+from lendworks.llm.dom import FEATURES, MAIN_TAGS, KnownPage, Page, features, parse, text_of
 
 MAX_TRAIN = 300
 LAYOUTS = 4
@@ -147,7 +147,7 @@ def labels(page: Page) -> np.ndarray | None:
     return out
 
 
-def layout(page: Page, rng: random.Random) -> str:
+def layout(page: Page, rng: random.Random) -> KnownPage:
     """A page with known parts, made of another page's sentences."""
     prose = [t.strip() for i, t in page.pieces if t and len(t.strip()) > 40 and page.tags[i] not in ("script", "style")]
     short = [t.strip() for _, t in page.pieces if t and 0 < len(t.strip()) <= 40] or ["More"]
@@ -164,7 +164,7 @@ def layout(page: Page, rng: random.Random) -> str:
     def box(tags: str, names: str, kept: int, body: str) -> str:
         tag, name = rng.choice(tags.split()), rng.choice([*names.split(), ""])
         attribute = "" if not name else f' {rng.choice(("class", "id"))}="{name}"'
-        return f'<{tag}{attribute} data-kept="{kept}">{body}</{tag}>'
+        return f'<{tag}{attribute} part-kept="{kept}">{body}</{tag}>'
 
     def links(kept: int = 0) -> str:
         items = "".join(f'<li><a href="/x">{phrase()}</a></li>' for _ in range(rng.randint(2, 8)))
@@ -178,7 +178,7 @@ def layout(page: Page, rng: random.Random) -> str:
     advert = lambda: box("div div aside section", "ad advert sponsored banner promo ads", 0, sentence())
     notice = lambda: box("div div section", "cookie-notice notice alert consent banner message", 0, sentence())
     side = lambda: box("aside aside div section", "sidebar widget related side-rail", 0, rng.choice((links(), lines(2), f"<h3>{phrase()}</h3>{links()}")))
-    form = lambda: f'<form data-kept="0"><label>{phrase()}</label><input name="q"><button>{phrase()}</button></form>' if rng.random() < 0.7 else box("div", "newsletter signup search", 0, f"<p>{sentence()}</p><input><button>{phrase()}</button>")  # noqa: E731,E501
+    form = lambda: f'<form part-kept="0"><label>{phrase()}</label><input name="q"><button>{phrase()}</button></form>' if rng.random() < 0.7 else box("div", "newsletter signup search", 0, f"<p>{sentence()}</p><input><button>{phrase()}</button>")  # noqa: E731,E501
     remark = lambda: box("div li article", "comment comment-body reply", 0, f"<b>{phrase()}</b><p>{sentence()}</p>")
     remarks = lambda: box("section div ol", "comments comment-list respond disqus reviews", 0, f"<h3>{phrase()}</h3>" + "".join(remark() for _ in range(rng.randint(1, 5))))  # noqa: E731,E501
     foot = lambda: box("footer footer div", "footer site-footer copyright", 0, rng.choice((f"&copy; {sentence()}", links() + phrase())))
@@ -212,7 +212,7 @@ def layout(page: Page, rng: random.Random) -> str:
     end = [f() for f in (side, advert, remarks, form, notice, nav, foot) if rng.random() < 0.4]
     rng.shuffle(top)
     body = f"{''.join(top)}{main}{''.join(end)}"
-    return body if rng.random() < 0.2 else f"<html><head><title>{phrase()}</title></head><body>{body}</body></html>"
+    return KnownPage(body if rng.random() < 0.2 else f"<html><head><title>{phrase()}</title></head><body>{body}</body></html>")
 
 
 def fit(pages: DataFrame, max_train: int = MAX_TRAIN) -> Boosted:

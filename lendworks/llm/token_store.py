@@ -14,6 +14,7 @@ the other, by text. An empty table makes no segment and an empty result. Other c
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -38,7 +39,25 @@ RANK_BITS = 512
 SEGMENT_IDS = 1_000_000
 FILE_IDS = 8_000_000
 
-#: Lower-cased texts of ASCII and Latin-1 letters; their split is the tokenizer's own pattern over them.
+#: The normaliser's and splitter's steps, as a tokenizer file states them, that this module knows.
+#: Files with others are read by the library alone.
+KNOWN_STEPS = {
+    "normalizer": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "pre_tokenizer": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Lower-cased texts of ASCII and Latin-1 letters; their split is that splitter's pattern over them.
 SIMPLE_TEXT = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
 SIMPLE_SPLIT = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+"
@@ -46,22 +65,31 @@ SIMPLE_SPLIT = re.compile(
 
 
 class WordEncoder:
-    """Ids of the tokenizer file, one per Python worker; special tokens' strings count as ordinary text."""
+    """Ids of a tokenizer file as the library gives them, one per Python worker.
+
+    Strings of the file's added tokens become those tokens, which is the library's default.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.pieces = PieceCache(self._piece, 2 * CACHE_PIECES)
+        stated = json.loads(self.tokenizer.to_str())
+        steps = {"normalizer": "normalizers", "pre_tokenizer": "pretokenizers"}
+        self.known = all((stated[k] or {}).get(inner) == KNOWN_STEPS[k] for k, inner in steps.items())
+        self.added = [t["content"].lower() for t in stated["added_tokens"]]
 
     def _piece(self, piece: str) -> bytes:
         return packed_ids([t.id for t in self.model.tokenize(as_byte_characters(piece))])
 
     def encode(self, text: str) -> bytes:
+        lowered = text.lower()
+        if not self.known or any(t in lowered for t in self.added):
+            return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if SIMPLE_TEXT(text):
-            return self.pieces.ids(SIMPLE_SPLIT(text.lower()))
+            return self.pieces.ids(SIMPLE_SPLIT(lowered))
         return b"".join(
             packed_ids(self.tokenizer.encode(p, add_special_tokens=False).ids) for p in parts(text)
         )

@@ -35,6 +35,15 @@ def test_ids_equal_the_other_library(reference):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_other_patterns_are_honoured(reference):
+    own = tiktoken.Encoding("x", pat_str=r"\S+|\s+", mergeable_ranks=reference._mergeable_ranks, special_tokens={})
+    codec = bpe.codec(BPE_RANKS, r"\S+|\s+")
+    texts = [*samples()[:800], "It's plain, isn't it?  Yes.", "日本 x " * 50_000]
+    for text in texts:
+        assert codec.encode(text).tolist() == own.encode_ordinary(text)
+    assert any(codec.encode(t).tolist() != reference.encode_ordinary(t) for t in texts)
+
+
 def test_long_texts_in_parts_give_the_same_ids(reference):
     codec = bpe.codec(BPE_RANKS, PATTERN)
     text = "日本 word, and\n  more \t things " * 3_000

@@ -112,6 +112,30 @@ def test_parsing_of_broken_pages():
     assert everything("<div>" * 3_000 + "deep") == "deep"
 
 
+def test_hostile_attributes(model, pages):
+    """No attribute of a page crashes the parser, is taken for a training mark, or is read as text."""
+    page = next(iter(pages.values()))
+    hostile = (
+        'part-kept="1"', 'part-kept="0"', 'data-kept="yes"', 'data-kept=""', "class", 'class=""', 'class="a" class="b"', "id='",
+        'class="&quot;><p>"', "class=a=b=c", '="x"', "part-kept=0", f'class="{"x " * 5_000}"', "\x00=1",
+    )
+    for attribute in hostile:
+        found = dom.parse(f"<div {attribute}>x</div><p>y</p>")
+        assert set(found.kept) == {None} and extract.labels(found) is None
+        dom.features(found)
+        assert main_text(model, page.replace("<article>", f"<article {attribute}>")) is not None
+    plain = main_text(model, page)
+    assert main_text(model, page.replace("<p>", '<p part-kept="0">')) == plain == truth(page)
+
+
+def test_training_pages_know_their_parts(pages):
+    for n, page in list(pages.items())[:40]:
+        known = extract.layout(dom.parse(page), random.Random(n))
+        assert "part-kept" not in known
+        parsed = dom.parse(known)
+        assert {0, 1} <= set(parsed.kept) and len(parsed.kept) == len(parsed.tags) == len(dom.parse(str(known)).tags)
+
+
 def test_awkward_tables(spark, model, pages):
     page = next(iter(pages.values()))
     schema = "page_id long, url string, html string, text string, n_chars int"

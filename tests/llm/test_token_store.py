@@ -16,9 +16,7 @@ from tests.llm.helpers import awkward, documents, none
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_ids_equal_the_library(tokenizer):
@@ -26,10 +24,17 @@ def test_ids_equal_the_library(tokenizer):
     rng = random.Random(4)
     letters = "aAbÉéß ñ\n\t'sxX19 .!?$% 中日本語한\U0001f600́ \x1cªµº  tThHeE<|>"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(3_000)]
-    for text in [*texts, "", " ", "<|endoftext|> IT'S", "İstanbul ΣΑΣ", "日本 x " * 60_000]:
+    for text in [*texts, "", " ", "<|endoftext|> IT'S", "foo <|endoftext|> bar", "日本<|startoftext|>x", "<|EndOfText|>", "İstanbul ΣΑΣ", "日本 x " * 60_000]:
         assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_another_tokenizer_file_equal_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), token_store.WordEncoder(path)
+    for text in ("It's Foo\n\n  bar 1234 ", "日本 <|endoftext|> x", "Ünï", ""):
+        assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("largest", [200, 60_000, 2**32 - 1])
 def test_any_token_is_read_directly(largest):
     rng = np.random.default_rng(largest)
