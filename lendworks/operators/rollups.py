@@ -140,10 +140,23 @@ def monthly_collection(payments: DataFrame) -> DataFrame:
     Spark counts the distinct loans by pre-aggregating per month, type and loan, so a month with
     most of the payments is still spread by loan.
     """
-    month = F.date_format("emi_due_date", "yyyy-MM").alias("emi_due_month")
-    totals = payments.groupBy(month, "loan_type").agg(
+    totals = payments.groupBy(due_month(), "loan_type").agg(
         *_payment_sums(), F.count_distinct("loan_id").alias("total_loans")
     )
+    return _monthly_rates(totals)
+
+
+def due_month() -> Column:
+    return F.date_format("emi_due_date", "yyyy-MM").alias("emi_due_month")
+
+
+def monthly_from_loans(month_loans: DataFrame) -> DataFrame:
+    """The same from payment totals per month, type and loan, so that each loan is a row to count."""
+    sums = _sums(PAYMENT_TOTALS)
+    return _monthly_rates(month_loans.groupBy("emi_due_month", "loan_type").agg(*sums, _rows().alias("total_loans")))
+
+
+def _monthly_rates(totals: DataFrame) -> DataFrame:
     return totals.select(
         "emi_due_month",
         "loan_type",

@@ -28,7 +28,10 @@ def read_raw(spark: SparkSession, spec: SourceSpec, folder: str, keep_corrupt: b
 
 
 def malformed_lines(rows: DataFrame, spec: SourceSpec) -> DataFrame:
-    """``source, source_file_name, record_id, line`` of rows read with the text of malformed lines."""
+    """``source, source_file_name, record_id, line`` of rows written with the text of malformed lines.
+
+    Straight from CSV files, columns that nobody reads would not be parsed and their faults not seen.
+    """
     return rows.filter(F.col(CORRUPT).isNotNull()).select(
         F.lit(spec.name).alias("source"), "source_file_name", F.col(spec.key).alias("record_id"), F.col(CORRUPT).alias("line")
     )

@@ -73,12 +73,13 @@ def rows(df: DataFrame) -> list[tuple]:
 
 
 class Memory:
-    """Keeps staged frames in memory, for tests that need no files."""
+    """Keeps staged frames in memory, for tests that need no files; like saved tables, they end the plan."""
 
     def __init__(self):
         self.saved: dict[str, DataFrame] = {}
 
     def table(self, name, build, partition_by=()):
         if name not in self.saved:
-            self.saved[name] = build().cache()
+            df = build()
+            self.saved[name] = df.sparkSession.createDataFrame(df.toArrow(), df.schema)
         return self.saved[name]
