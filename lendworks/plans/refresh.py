@@ -17,7 +17,8 @@ from lendworks.plans.silver import SilverLayer
 from lendworks.sizing import size_session, stored_bytes
 from lendworks.sources.raw_files import CORRUPT, read_raw, row_counts, stamp_bronze
 from lendworks.sources.registry import SOURCES, SourceSpec
-from lendworks.sources.tables import Release, write_rejected_zone
+from lendworks.sources.tables import Release, ReportingStore, publish, publish_reconcile, write_rejected_zone
+from lendworks.staging import exists
 
 
 class MissingFeeds(Exception):
@@ -36,6 +37,7 @@ class Refresh:
     malformed: DataFrame
     missing_sources: list[str]
     rejected_zone: str
+    published: DataFrame | None = None  # per Gold table the rows sent to the reporting store and read back
 
     def counts(self) -> DataFrame:
         tables = {f"bronze_{n}": df for n, df in self.bronze.items()}
@@ -48,11 +50,6 @@ class Refresh:
         return check_gold(self.gold, self.marts)
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def _bronze_rows(spark: SparkSession, cfg: LakeConfig, spec: SourceSpec, arrived: bool, on_missing: str) -> DataFrame:
     """The source's rows with the text of malformed lines; those of the last release if its folder is missing."""
     published = cfg.table("bronze", spec.name)
@@ -76,12 +73,11 @@ def load_bronze(release: Release, missing: list[str], on_missing: str) -> tuple[
 
     with ThreadPoolExecutor(len(SOURCES)) as pool:
         saved = dict(zip(SOURCES, pool.map(load, SOURCES.values())))
-    lines = (
-        f"SELECT '{n}' AS source, source_file_name, `{SOURCES[n].key}` AS record_id, {CORRUPT} AS line "
-        f"FROM {release.saved('bronze', n)} WHERE {CORRUPT} IS NOT NULL"
+    parts = [
+        ([f"'{n}' AS source", "source_file_name", f"`{SOURCES[n].key}` AS record_id", f"{CORRUPT} AS line"], ("bronze", n), f"{CORRUPT} IS NOT NULL")
         for n in saved
-    )
-    malformed = release.view("bronze", "malformed_lines", " UNION ALL ".join(lines))
+    ]
+    malformed = release.view("bronze", "malformed_lines", parts)
     return {n: df.drop(CORRUPT) for n, df in saved.items()}, malformed
 
 
@@ -100,14 +96,14 @@ def _saver(release: Release, finish: Callable[[DataFrame], DataFrame] = lambda d
 def silver_tables(release: Release, silver: SilverLayer) -> dict[str, DataFrame]:
     """Silver tables: the accepted partition of each validated table."""
 
-    def select(source: str) -> str:
-        columns = [
+    def columns(source: str) -> list[str]:
+        return [
             "'SILVER' AS pipeline_layer" if c == "pipeline_layer" else f"`{c}`"
             for c in silver_columns(silver.validated(source))
         ]
-        return f"SELECT {', '.join(columns)} FROM {release.saved('work', f'validated_{source}')} WHERE {ACCEPTED}"
 
-    return {s: release.view("silver", s, select(s)) for s in SOURCES}
+    # Folder names are text to a view.
+    return {s: release.view("silver", s, [(columns(s), ("work", f"validated_{s}"), f"{ACCEPTED} = 'true'")]) for s in SOURCES}
 
 
 def gold_tables(release: Release, layer: GoldLayer) -> dict[str, DataFrame]:
@@ -116,23 +112,25 @@ def gold_tables(release: Release, layer: GoldLayer) -> dict[str, DataFrame]:
     def save(name: str, df: DataFrame) -> DataFrame:
         if name != "loan_default_risk_summary":
             return release.save(stamped(df, release.cfg.now()), "gold", name)
-        columns = ", ".join((*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"))
-        return release.view("gold", name, f"SELECT {columns} FROM {release.saved('work', 'loan_risk')}")
+        columns = [*LOAN_COLUMNS, "gold_processed_timestamp", "pipeline_layer"]
+        return release.view("gold", name, [(columns, ("work", "loan_risk"), None)])
 
     tables = layer.tables() | layer.planned_tables()
     with ThreadPoolExecutor(len(tables)) as pool:
         return dict(zip(tables, pool.map(save, tables, tables.values())))
 
 
-def refresh(spark: SparkSession, cfg: LakeConfig, on_missing: str = "stop") -> Refresh:
-    """Build a release from all raw files and publish it.
+def refresh(
+    spark: SparkSession, cfg: LakeConfig, on_missing: str = "stop", store: ReportingStore | None = None
+) -> Refresh:
+    """Build a release from all raw files and publish it; with a ``store`` send the Gold tables there and reconcile.
 
     ``on_missing`` says what a feed without a folder means: ``stop`` raises before anything is written,
     ``keep`` goes on with the feed's rows of the last release, ``empty`` takes the feed as empty. Published
     views change only after every table is written.
     """
     size_session(spark, stored_bytes(spark, [cfg.zone("raw")]))
-    missing = [s for s in SOURCES if not _exists(spark, cfg.raw(s))]
+    missing = [s for s in SOURCES if not exists(spark, cfg.raw(s))]
     if missing and on_missing == "stop":
         raise MissingFeeds(", ".join(missing))
     release = Release(spark, cfg)
@@ -151,5 +149,10 @@ def refresh(spark: SparkSession, cfg: LakeConfig, on_missing: str = "stop") -> R
     marts = {n: release.save(df, "reporting", n) for n, df in reporting_marts(gold).items()}
     release.publish()
     for view, table in STAGING_VIEWS.items():
+        # The same text each time: what they show follows the release.
         spark.sql(f"CREATE OR REPLACE VIEW {cfg.database}.{view} AS SELECT * FROM {cfg.table('gold', table)}")
-    return Refresh(bronze, silver, gold, marts, rejects, malformed, missing, rejected_zone)
+    reconciled = None
+    if store is not None:
+        sent = {f"gold_{n}": df for n, df in gold.items()}
+        reconciled = publish_reconcile(publish(sent, store), store, list(sent))
+    return Refresh(bronze, silver, gold, marts, rejects, malformed, missing, rejected_zone, reconciled)

@@ -9,70 +9,106 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from lendworks.config import LakeConfig
+from lendworks.staging import delete, exists, subfolders
 
 
 class Release:
-    """One run's tables: each written once under the run's own name, all published together at the end.
-
-    Published names are catalog views. Until ``publish`` they show the last release, so readers see whole old or
-    whole new tables, and a run that fails on the way changes nothing they read. Files of a release are never
-    rewritten; ``expire`` deletes those of old releases.
+    """One run's tables: each written once into the run's own partition, all published by one write at the end.
+
+    The files of a table lie in a folder per release. Published names are catalog views of the release that the
+    pointer, a table of the releases published so far, names last: ``release = (SELECT max(release) FROM pointer)``,
+    which prunes to that folder. Adding a line to the pointer therefore switches all tables at once; a reader sees
+    one release in all of them, before as after, and a run that fails on the way changes nothing that is read. Views
+    are made anew only where a table is new or its columns changed, before the switch. Files of a release are never
+    rewritten; ``expire`` deletes those of old releases. The table format must be one of Spark's file formats.
     """
 
-    MARK = "__v"
+    MARK = "release="
+    LAYERS = ("bronze", "silver", "gold", "reporting", "work", "rejected")
 
     def __init__(self, spark: SparkSession, cfg: LakeConfig):
         self.spark, self.cfg = spark, cfg
-        self.version = f"{time.time_ns():020d}"
+        self.version = f"r{time.time_ns():020d}"  # a letter first, so that it stays text
+        self.pointer = cfg.zone("releases")
+        self._schemas: dict[tuple[str, str], StructType] = {}
         self._views: dict[str, str] = {}
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.cfg.zone(layer, name)}/{self.MARK}{self.version}"
-
-    def _stored_name(self, layer: str, name: str) -> str:
-        return f"{self.cfg.table(layer, name)}{self.MARK}{self.version}"
+        return f"{self.cfg.zone(layer, name).rstrip('/')}/{self.MARK}{self.version}"
 
     def save(
         self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (), hidden: Sequence[str] = ()
     ) -> DataFrame:
         """Write a table and return its reader; work tables are not published, ``hidden`` columns neither."""
-        stored = self._stored_name(layer, name)
-        writer = df.write.format(self.cfg.table_format).option("path", self.path(layer, name))
+        path, kind = self.path(layer, name), self.cfg.table_format
+        df.write.format(kind).partitionBy(*partition_by).save(path)
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(stored)
-        reader = self.spark.table(stored)
+            # Without rows there would be no file that tells the columns.
+            folders = "/".join(f"{c}=__HIVE_DEFAULT_PARTITION__" for c in partition_by)
+            none = self.spark.createDataFrame([], df.drop(*partition_by).schema)
+            none.write.format(kind).save(f"{path}/{folders}")
+        self._schemas[layer, name] = df.schema
         if layer != "work":
-            columns = ", ".join(f"`{c}`" for c in reader.columns if c not in hidden)
-            self.view(layer, name, f"SELECT {columns} FROM {stored}")
-        return reader
-
-    def saved(self, layer: str, name: str) -> str:
-        return self._stored_name(layer, name)
-
-    def view(self, layer: str, name: str, select: str) -> DataFrame:
-        """Publish a selection from saved tables later, read it now."""
-        self._views[self.cfg.table(layer, name)] = select
-        return self.spark.sql(select)
+            self.view(layer, name, [([f"`{c}`" for c in df.columns if c not in hidden], (layer, name), None)])
+        return self.read(layer, name)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        """A table of this release, published or not."""
+        schema = self._schemas[layer, name]
+        stored = self.spark.read.schema(schema).format(self.cfg.table_format).load(self.path(layer, name))
+        return stored.select(*schema.fieldNames())
+
+    def view(self, layer: str, name: str, parts: Sequence[tuple[Sequence[str], tuple[str, str], str | None]]) -> DataFrame:
+        """Publish ``(columns, (layer, table), condition)`` of saved tables, one below the other, later; read it now."""
+        kind = self.cfg.table_format
+        current = f"(SELECT max(release) FROM {kind}.`{self.pointer}`)"
+        selects, frames = [], []
+        for columns, source, condition in parts:
+            where = f" AND {condition}" if condition else ""
+            selects.append(f"SELECT {', '.join(columns)} FROM {kind}.`{self.cfg.zone(*source)}` WHERE release = {current}{where}")
+            frame = self.read(*source)
+            frames.append((frame.filter(condition) if condition else frame).selectExpr(*columns))
+        self._views[self.cfg.table(layer, name)] = " UNION ALL ".join(selects)
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    def _view_text(self, name: str) -> str | None:
+        if not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'View Text'").collect()
+        return rows[0]["data_type"] if rows else None
+
+    def _switch(self) -> None:
+        line = self.spark.createDataFrame([(self.version,)], "release string").coalesce(1)
+        line.write.format(self.cfg.table_format).mode("append").save(self.pointer)
 
     def publish(self) -> None:
+        first = not exists(self.spark, self.pointer)
+        if first:
+            self._switch()  # views need something to point at
         for name, select in self._views.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+            if self._view_text(name) != select:
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+        if not first:
+            self._switch()
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Drop the tables and files of all but the last ``keep`` releases; returns the dropped tables."""
-        stored = [t.name for t in self.spark.catalog.listTables(self.cfg.database) if self.MARK in t.name]
-        versions = sorted({n.rpartition(self.MARK)[2] for n in stored})[:-keep]
-        dropped = [n for n in stored if n.rpartition(self.MARK)[2] in versions]
-        for name in dropped:
-            full = f"{self.cfg.database}.{name}"
-            where = self.spark.sql(f"DESCRIBE FORMATTED {full}").filter("col_name = 'Location'").first()["data_type"]
-            self.spark.sql(f"DROP TABLE {full}")
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
-            if path.getName().startswith(self.MARK):
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Delete the files of releases older than the last ``keep`` published ones; returns the deleted folders."""
+        if not exists(self.spark, self.pointer):
+            return []
+        published = self.spark.read.format(self.cfg.table_format).load(self.pointer)
+        kept = [r["release"] for r in published.distinct().orderBy(F.desc("release")).limit(max(keep, 1)).collect()]
+        dropped = []
+        for layer in self.LAYERS:
+            tables = ["", *subfolders(self.spark, self.cfg.zone(layer))]
+            for table in tables:
+                base = self.cfg.zone(layer, table)
+                for folder in subfolders(self.spark, base):
+                    if folder.startswith(self.MARK) and folder.removeprefix(self.MARK) < min(kept):
+                        delete(self.spark, f"{base}/{folder}")
+                        dropped.append(f"{base}/{folder}")
         return dropped
 
 

@@ -35,6 +35,11 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path)
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = _located(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     path, fs = _located(spark, folder)
     fs.delete(path, True)

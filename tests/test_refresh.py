@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import pathlib
 
 import pytest
 
@@ -173,9 +174,46 @@ def test_second_refresh_replaces_the_first_and_its_readers_go_on(spark, lake_run
     assert counts["bronze_emi_payments"] == 0  # kept as the last release had it
     assert spark.table("lake_test.silver_customers").count() == 2
     assert rows(first.silver["customers"]) == old
-    Release(spark, cfg).expire(keep=1)
-    spark.catalog.clearCache()
+    folders = lambda: {str(p).partition("release=")[2] for p in pathlib.Path(cfg.base_path).glob("*/**/release=*")}
+    assert len(folders()) > 1
+    assert Release(spark, cfg).expire(keep=1) and len(folders()) == 1
     assert spark.table("lake_test.silver_customers").count() == 2
-    assert {t.name.rpartition("__v")[2] for t in spark.catalog.listTables("lake_test") if "__v" in t.name} == {
-        max(t.name.rpartition("__v")[2] for t in spark.catalog.listTables("lake_test") if "__v" in t.name)
-    }
+    assert spark.table("lake_test.stg_portfolio_kpis").count() == 1
+
+
+def test_published_views_read_one_partition(spark, lake_run):
+    table = spark.table("lake_test.silver_loan_accounts")
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(release" in plan and "accepted" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_a_reader_sees_one_release_between_any_two_steps(spark, tmp_path, monkeypatch):
+    cfg = LakeConfig(str(tmp_path), database="steps_test", as_of=AS_OF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS steps_test")
+    for source in GOOD:
+        write_csv(f"{tmp_path}/raw", source, record(source))
+    first = refresh(spark, cfg, store=ReportingStore(path=f"{tmp_path}/store"))
+    assert first.published.count() == 8 and first.published.filter("NOT matches").count() == 0
+    watched = ("bronze_customers", "silver_customers", "gold_customer_loan_summary", "gold_portfolio_kpis", "stg_customer_loan_summary")
+
+    def seen() -> tuple:
+        return tuple(spark.sql(f"SELECT count(*) FROM steps_test.{n}").first()[0] for n in watched)
+
+    old = seen()
+    steps = []
+    for name in ("save", "view", "publish", "_switch"):
+        def step(self, *args, original=getattr(Release, name), name=name, **options):
+            before = seen() if name in ("publish", "_switch") or len(steps) % 9 == 0 else old
+            done = original(self, *args, **options)
+            steps.append((name, before, seen() if name in ("publish", "_switch") else before))
+            return done
+
+        monkeypatch.setattr(Release, name, step)
+    write_csv(f"{tmp_path}/raw", "customers", record("customers", customer_id="C7"), name="day2.csv")
+    refresh(spark, cfg)
+    new = seen()
+    assert old == (1, 1, 1, 1, 1) and new == (2, 2, 2, 1, 2)
+    assert all(before == old for _, before, _ in steps)
+    assert {after for name, _, after in steps if name == "_switch"} == {new}
+    assert {after for name, _, after in steps if name in ("save", "view")} == {old}
