@@ -37,6 +37,8 @@ MIN_WORDS = 50
 
 WINDOW = "struct<first_line:int,last_line:int,digest:binary>"
 DIGEST_BYTES = 16
+#: Text whose windows a task holds at once, in bytes; they take a multiple of it.
+PRINT_BYTES = 1_000_000
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -64,8 +66,8 @@ def windows_of(words: list[int], min_words: int) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
-def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list[dict]]]:
-    """For each selected line its hash and the windows that select it, by the numbers of their first and last lines."""
+def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """For each selected line its hash and the windows that select it: numbers of the first and last lines, digest."""
     from xxhash import xxh3_128_digest
 
     lines = lines_of(text)
@@ -75,12 +77,11 @@ def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list[dict]]
     digests = [xxh3_128_digest(s.encode("utf-8")) for _, s in lines]
     hashes = [int.from_bytes(d[:8], "big", signed=True) for d in digests]
     whole = b"".join(digests)
-    chosen: dict[int, list[dict]] = {}
+    chosen: dict[int, list[tuple[int, int, bytes]]] = {}
     for start, end in windows_of(words, min_words):
         place = min(range(start, end), key=lambda i: (hashes[i], -i))
         digest = xxh3_128_digest(whole[DIGEST_BYTES * start : DIGEST_BYTES * end])
-        window = {"first_line": lines[start][0], "last_line": lines[end - 1][0], "digest": digest}
-        chosen.setdefault(place, []).append(window)
+        chosen.setdefault(place, []).append((lines[start][0], lines[end - 1][0], digest))
     for place, found in chosen.items():
         yield hashes[place], found
 
@@ -88,24 +89,24 @@ def selected_lines(text: str, min_words: int) -> Iterator[tuple[int, list[dict]]
 def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, text_hash, line_hash, windows``: a row per selected line."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    window = pa.struct([("first_line", pa.int32()), ("last_line", pa.int32()), ("digest", pa.binary())])
+    names = ["first_line", "last_line", "digest"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            owner, hashes, windows = [], [], []
+        for batch in slices(batches, 2, PRINT_BYTES):
+            owner, hashes, upto = [], [], [0]
+            windows: list[tuple[int, int, bytes]] = []
             for i, text in enumerate(texts_of(batch.column(2))):
                 for line_hash, found in selected_lines(text, min_words):
                     owner.append(i)
                     hashes.append(line_hash)
-                    windows.append(found)
+                    windows += found
+                    upto.append(len(windows))
             take = pa.array(owner, pa.int32())
+            first, last, digests = zip(*windows) if windows else ((), (), ())
+            columns = [pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(digests, pa.binary())]
+            lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays(columns, names))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(take),
-                    batch.column(1).take(take),
-                    pa.array(hashes, pa.int64()),
-                    pa.array(windows, pa.list_(window)),
-                ],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(hashes, pa.int64()), lists],
                 ["doc_id", "text_hash", "line_hash", "windows"],
             )
 
