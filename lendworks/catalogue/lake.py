@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendworks.operators.standardize import standardize
-from lendworks.plans.gold import GoldLayer
+from lendworks.config import LakeConfig
+from lendworks.plans.gold import GoldLayer, stamped
+from lendworks.plans.refresh import create_staging_views
 from lendworks.plans.reporting import reporting_marts
 from lendworks.plans.silver import SilverLayer
 from lendworks.sizing import size_session, stored_bytes
 from lendworks.sources.loan_views import BASE_TABLES, loan_views
 from lendworks.sources.raw_files import read_raw, stamp_bronze, timestamp_literal
 from lendworks.sources.registry import SOURCES
+from lendworks.sources.tables import Release
 from lendworks.staging import Stage
 
 AS_OF = datetime(2026, 6, 30)
@@ -44,6 +48,7 @@ class Lake:
         )
         self.gold = GoldLayer(self.silver, self.stage.table, self.today)
         self._csv: dict[str, str] = {}
+        self._database: str | None = None
 
     def standard(self, source: str) -> DataFrame:
         return standardize(self.bronze[source], SOURCES[source])
@@ -62,6 +67,12 @@ class Lake:
             self._csv[source] = target
         return self._csv[source]
 
+    def empty_csv_folder(self, source: str) -> str:
+        """A raw folder of the source whose file holds the header only."""
+        target = self.stage.folder(f"raw_empty/{source}")
+        self.raw[source].limit(0).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+        return target
+
     def ingested(self, source: str) -> DataFrame:
         spec = SOURCES[source]
         rows = read_raw(self.spark, spec, self.csv_folder(source))
@@ -78,6 +89,26 @@ class Lake:
             for name, df in self.gold.tables().items()
         }
 
+    def stamped_gold(self) -> dict[str, DataFrame]:
+        """Gold tables as a refresh saves them, with layer and time on every row."""
+        return {
+            name: self.stage.table(f"stamped_{name}", lambda df=df: stamped(df, self.now))
+            for name, df in self.gold_tables().items()
+        }
+
+    def published(self) -> str:
+        """The database of a release made of the Gold tables, with its staging views."""
+        if self._database is None:
+            name = "lake_" + os.path.basename(self.sf_dir.rstrip("/")).replace(".", "_").replace("-", "_")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+            release = Release(self.spark, LakeConfig(self.stage.folder("published"), database=name))
+            for table, df in self.stamped_gold().items():
+                release.save(df, "gold", table)
+            release.publish()
+            create_staging_views(self.spark, release.cfg)
+            self._database = name
+        return self._database
+
     def marts(self) -> dict[str, DataFrame]:
         return reporting_marts(self.gold_tables())
 

@@ -632,6 +632,32 @@ _GOLD = {
     "portfolio_kpis": "gold_kpis",
 }
 
+# Columns of the staging views by name; rates and averages, which are doubles, to ten decimals.
+_GOLD_COLUMNS = {
+    "customer_loan_summary": """active_loan_count annual_income *avg_interest_rate city closed_loan_count *collection_rate
+        credit_score customer_id customer_name defaulted_loan_count employment_type gender has_npa_flag late_emi_count
+        max_days_past_due missed_emi_count paid_emi_count partial_emi_count risk_category state total_amount_paid
+        total_emi_due total_emi_records total_loan_amount total_loans total_overdue_amount""",
+    "branch_performance_summary": """active_loans *avg_interest_rate branch_id branch_name city closed_loans *collection_rate
+        *default_rate defaulted_loans is_active late_emi_count max_days_past_due missed_emi_count npa_records region state
+        total_borrowers total_collected_amount total_disbursed_amount total_emi_due total_loans total_overdue_amount""",
+    "monthly_collection_summary": """*collection_rate emi_due_month late_count loan_type missed_count *missed_rate paid_count
+        partial_count total_amount_paid total_emi_due total_emi_records total_loans""",
+    "loan_default_risk_summary": """annual_income application_id branch_id branch_name city *collection_rate credit_score
+        customer_id customer_name has_npa_flag *interest_rate late_count loan_amount loan_id loan_start_date loan_status
+        loan_type max_days_past_due missed_count paid_count partial_count region risk_category risk_score state
+        total_amount_paid total_emi_due total_emi_records total_overdue_amount""",
+    "portfolio_kpis": """active_loans *avg_risk_score closed_loans *collection_rate *default_rate defaulted_loans
+        *high_risk_loan_rate high_risk_loans kpi_date total_amount_collected total_customers total_emi_due
+        total_loan_portfolio total_loans total_overdue_amount""",
+}
+
+
+def _texts(columns: str) -> str:
+    values = (f"CAST(round({c[1:]} * 10000000000) AS BIGINT)" if c[0] == "*" else c for c in columns.split())
+    return ", ".join(f"coalesce(CAST({v} AS VARCHAR), '?')" for v in values)
+
+
 
 def _counts(tables: dict[str, str], name: str = "table_name") -> str:
     return " UNION ALL ".join(
@@ -770,7 +796,9 @@ FROM gold_branch ORDER BY total_disbursed_amount DESC, branch_id"""
 SELECT loan_id, customer_id, customer_name, loan_type, loan_amount, collection_rate, missed_count,
        max_days_past_due, total_overdue_amount, risk_score, risk_category
 FROM gold_loan ORDER BY risk_score DESC, total_overdue_amount DESC, loan_id LIMIT 20"""
-    q["stg_views"] = _counts({f"stg_{n}": cte for n, cte in _GOLD.items()})
+    q["stg_views"] = " UNION ALL ".join(
+        f"SELECT 'stg_{n}' AS view_name, concat_ws('|', {_texts(columns)}) AS record FROM {_GOLD[n]}" for n, columns in _GOLD_COLUMNS.items()
+    )
     q["mart_high_risk_loans"] = "SELECT * FROM mart_high_risk"
     q["mart_branch_risk_dashboard"] = "SELECT * FROM mart_branch"
     q["mart_collection_trend"] = "SELECT * FROM mart_trend"
@@ -868,11 +896,26 @@ WHERE collection_rate < 0 OR collection_rate > 100"""
         | {"silver_rejected_records": "bad_all"}
         | {f"gold_{n}": cte for n, cte in _GOLD.items()}
     )
+    # Of the listed files one feed's have another name than expected, one is empty and one did not come.
     q["source_arrival"] = " UNION ALL ".join(
-        f"SELECT '{s}' AS source, count(*) > 0 AS has_files, count(*) AS rows, "
-        f"count(*) = 0 AS is_missing FROM {cte}" + " WHERE false" * (s == "delinquency")
+        f"SELECT '{s}' AS source, {str(s not in ('delinquency', 'customers')).lower()} AS has_files, count(*) AS rows, "
+        f"{str(s in ('delinquency', 'customers')).lower()} AS is_missing FROM {cte}"
+        + " WHERE false" * (s in ("delinquency", "branch_master"))
         for s, cte in feeds.items()
     )
+    q["file_arrival"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS source, CASE WHEN count(*) > 0 THEN '{status}' ELSE 'empty' END AS status, "
+        f"{str(there).lower()} AS has_files, {str(there).lower()} AS has_bytes FROM {feeds[s]}"
+        for s, status, there in (
+            ("branch_master", "empty", True),
+            ("customers", "unexpected", True),
+            ("customers", "missing", False),
+            ("loan_applications", "arrived", True),
+            ("loan_accounts", "arrived", True),
+            ("emi_payments", "arrived", True),
+            ("delinquency", "missing", False),
+        )
+    )
     expected = {
         "branch_master": ("supplier", 0.0),
         "customers": ("customer", 0.02),

@@ -336,15 +336,15 @@ query("gold_customer_risk_score")(
 
 @query("gold_audit")
 def gold_audit(lk: Lake) -> DataFrame:
-    """Rows of every Gold table, and those that carry the layer and the run's time."""
+    """Rows of every Gold table as saved, and those that carry the layer and the run's time."""
 
     def audited(name, df):
         right = (F.col("pipeline_layer") == "GOLD") & (F.col("gold_processed_timestamp") == lk.now)
-        return marts.stamped(df, lk.now).agg(
+        return df.agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count_if(right).alias("audited_count")
         )
 
-    return _union(audited(n, df) for n, df in lk.gold_tables().items())
+    return _union(audited(n, df) for n, df in lk.stamped_gold().items())
 
 
 # Reports and reporting marts ---------------------------------------------------------------------
@@ -357,8 +357,15 @@ query("top_risky_loans")(lambda lk: reporting.riskiest_loans(lk.gold.loan_defaul
 
 @query("stg_views")
 def stg_views(lk: Lake) -> DataFrame:
-    views = reporting.register_staging_views(lk.gold_tables())
-    return raw_files.row_counts({v: lk.spark.table(v) for v in views})
+    """Every row of the five staging views of a published release, columns by name as one text, doubles to ten decimals."""
+
+    def content(view, df):
+        columns = sorted(c for c in df.columns if c not in ("gold_processed_timestamp", "pipeline_layer"))
+        rounded = (F.round(F.col(c) * 10**10).cast("bigint") if t == "double" else F.col(c) for c, t in df.select(columns).dtypes)
+        text = F.concat_ws("|", *(F.coalesce(c.cast("string"), F.lit("?")) for c in rounded))
+        return df.select(F.lit(view).alias("view_name"), text.alias("record"))
+
+    return _union(content(v, lk.spark.table(f"{lk.published()}.{v}")) for v in reporting.STAGING_VIEWS)
 
 
 query("mart_high_risk_loans")(
@@ -505,11 +512,27 @@ def row_counts(lk: Lake) -> DataFrame:
     return raw_files.row_counts(tables)
 
 
+def _arrivals(lk: Lake) -> DataFrame:
+    """The files of a day on which one feed did not come, one came empty, and one under another name."""
+    folders = {s: lk.csv_folder(s) for s in SOURCES if s != "delinquency"}
+    folders["delinquency"] = lk.stage.folder("raw/not_arrived")
+    folders["branch_master"] = lk.empty_csv_folder("branch_master")
+    expected = dict.fromkeys(SOURCES, "part-%.csv") | {"customers": "customers_%.csv"}
+    return raw_files.file_arrival(lk.spark, folders, expected)
+
+
+@query("file_arrival")
+def file_arrival(lk: Lake) -> DataFrame:
+    """Per source and status the files there are, and whether they hold anything; names follow Spark's tasks."""
+    came = F.max(F.col("status") != raw_files.MISSING)
+    return _arrivals(lk).groupBy("source", "status").agg(came.alias("has_files"), (F.sum("bytes") > 0).alias("has_bytes"))
+
+
 @query("source_arrival")
 def source_arrival(lk: Lake) -> DataFrame:
-    """One feed is left out, as if it had not arrived."""
-    arrived = {n: df for n, df in lk.all_ingested().items() if n != "delinquency"}
-    arrivals = raw_files.source_arrival(lk.spark, arrived)
+    """One feed is left out, as if it had not arrived; one that arrived without rows is not missing."""
+    arrived = {n: df for n, df in lk.all_ingested().items() if n not in ("delinquency", "branch_master")}
+    arrivals = raw_files.source_arrival(lk.spark, arrived, _arrivals(lk))
     return arrivals.select("source", (F.col("files") > 0).alias("has_files"), "rows", "is_missing")
 
 

@@ -120,6 +120,12 @@ def gold_tables(release: Release, layer: GoldLayer) -> dict[str, DataFrame]:
         return dict(zip(tables, pool.map(save, tables, tables.values())))
 
 
+def create_staging_views(spark: SparkSession, cfg: LakeConfig) -> None:
+    """Staging views on the published Gold views; the same text each time, what they show follows the release."""
+    for view, table in STAGING_VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {cfg.database}.{view} AS SELECT * FROM {cfg.table('gold', table)}")
+
+
 def refresh(
     spark: SparkSession, cfg: LakeConfig, on_missing: str = "stop", store: ReportingStore | None = None
 ) -> Refresh:
@@ -148,9 +154,7 @@ def refresh(
     gold = gold_tables(release, gold_layer)
     marts = {n: release.save(df, "reporting", n) for n, df in reporting_marts(gold).items()}
     release.publish()
-    for view, table in STAGING_VIEWS.items():
-        # The same text each time: what they show follows the release.
-        spark.sql(f"CREATE OR REPLACE VIEW {cfg.database}.{view} AS SELECT * FROM {cfg.table('gold', table)}")
+    create_staging_views(spark, cfg)
     reconciled = None
     if store is not None:
         sent = {f"gold_{n}": df for n, df in gold.items()}

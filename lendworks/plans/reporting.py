@@ -74,12 +74,6 @@ STAGING_VIEWS = {
 }
 
 
-def register_staging_views(gold: Mapping[str, DataFrame]) -> list[str]:
-    for view, table in STAGING_VIEWS.items():
-        gold[table].createOrReplaceTempView(view)
-    return list(STAGING_VIEWS)
-
-
 def high_risk_loans(loan_risk: DataFrame) -> DataFrame:
     return loan_risk.filter(F.col("risk_category").isin("CRITICAL", "HIGH")).select(
         "loan_id",

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from lendworks.sources.registry import SOURCES, SourceSpec
+from lendworks.staging import exists
 
 CORRUPT = "_corrupt_record"
 
@@ -89,10 +91,64 @@ def audit_presence(bronze: DataFrame) -> DataFrame:
     )
 
 
-def source_arrival(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> DataFrame:
+# Fixed value: how a day's files are named.
+DAY_FILE = "{source}_{day:%Y_%m_%d}.csv"
+
+ARRIVED, EMPTY, MISSING, UNEXPECTED = "arrived", "empty", "missing", "unexpected"
+
+
+def file_listing(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """``source, file, bytes, modified`` of the files in each source's folder, from metadata alone.
+
+    The scan lists paths and never opens a file; a folder that does not exist has no files. Scans pass files without
+    a byte by, so those are taken from the names that Spark's file index holds anyway.
+    """
+    found = [spark.createDataFrame([], "source string, file string, bytes bigint, modified timestamp")]
+    for source, folder in folders.items():
+        if not exists(spark, folder):
+            continue
+        files = spark.read.format("binaryFile").load(folder)
+        names = [(source, unquote(f.rpartition("/")[2])) for f in files.inputFiles()]
+        listed = spark.createDataFrame(names, "source string, file string")
+        name = F.element_at(F.split("path", "/"), -1).alias("file")
+        sized = files.select(name, F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+        both = listed.join(sized, "file", "left")
+        found.append(both.select("source", "file", F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def day_files(day: date) -> dict[str, str]:
+    """The file expected of every source on a day."""
+    return {s: DAY_FILE.format(source=s, day=day) for s in SOURCES}
+
+
+def header_bytes(spec: SourceSpec) -> int:
+    """Bytes of a file that holds the header line at most."""
+    return len(",".join(spec.columns)) + 2
+
+
+def file_arrival(spark: SparkSession, folders: Mapping[str, str], expected: Mapping[str, str]) -> DataFrame:
+    """``source, file, bytes, status``: what came of the expected files, by metadata alone.
+
+    ``expected`` has a name pattern (SQL LIKE) per source. A file of that name ``arrived``, or is ``empty`` if it holds
+    no more than a header; a source with no such file is ``missing``, and a file of another name ``unexpected``.
+    """
+    rows = [(s, expected[s], header_bytes(SOURCES[s])) for s in SOURCES if s in expected]
+    wanted = F.broadcast(spark.createDataFrame(rows, "source string, pattern string, header bigint"))  # a row a source
+    files = file_listing(spark, {s: folders[s] for s in folders if s in expected})
+    named = files.join(wanted, "source").withColumn("fits", F.expr("file LIKE pattern"))
+    status = F.when(~F.col("fits"), UNEXPECTED).when(F.col("bytes") <= F.col("header"), EMPTY).otherwise(ARRIVED)
+    came = named.select("source", "file", "bytes", status.alias("status"))
+    none = wanted.join(named.filter("fits").select("source").distinct(), "source", "left_anti")
+    missing = none.select("source", F.col("pattern").alias("file"), F.lit(0).cast("bigint").alias("bytes"), F.lit(MISSING).alias("status"))
+    return came.unionByName(missing)
+
+
+def source_arrival(spark: SparkSession, bronze: Mapping[str, DataFrame], arrivals: DataFrame | None = None) -> DataFrame:
     """One row per expected source: files and rows that arrived, and whether it is missing.
 
-    A source without any data frame or without rows is reported, not raised.
+    A source without any data frame is reported, not raised. Whether a source is missing follows from its files
+    where ``arrivals`` of ``file_arrival`` are given: an empty file has arrived. Else no rows count as missing.
     """
     expected = spark.createDataFrame([(s,) for s in SOURCES], "source string")
     arrived = [
@@ -102,16 +158,18 @@ def source_arrival(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> Data
         .select(F.lit(name).alias("source"), "files", "rows")
         for name, df in bronze.items()
     ]
-    if not arrived:
-        return expected.selectExpr("source", "0L AS files", "0L AS rows", "true AS is_missing")
-    found = reduce(lambda a, b: a.unionByName(b), arrived)
+    empty = spark.createDataFrame([], "source string, files bigint, rows bigint")
+    found = reduce(lambda a, b: a.unionByName(b), arrived, empty)
     # Both sides hold one row per source, at most the size of the registry.
-    return expected.join(F.broadcast(found), "source", "left").select(
-        "source",
-        F.coalesce("files", F.lit(0)).alias("files"),
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-        (F.coalesce("rows", F.lit(0)) == 0).alias("is_missing"),
+    counted = expected.join(F.broadcast(found), "source", "left").select(
+        "source", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("rows", F.lit(0)).alias("rows")
     )
+    if arrivals is None:
+        return counted.withColumn("is_missing", F.col("rows") == 0)
+    listed = arrivals.filter(F.col("status").isin(ARRIVED, EMPTY)).groupBy("source").agg(F.count(F.lit(1)).alias("listed"))
+    both = counted.join(F.broadcast(listed), "source", "left")
+    files = F.coalesce("listed", F.lit(0))
+    return both.select("source", files.alias("files"), "rows", (files == 0).alias("is_missing"))
 
 
 # Rows expected from one day's sample, and the tolerance where the count is approximate.

@@ -11,6 +11,9 @@ from lendworks.plans import refresh as refresh_module
 from lendworks.plans.refresh import MissingFeeds, refresh
 from lendworks.sources.raw_files import (
     audit_rollup,
+    day_files,
+    file_arrival,
+    file_listing,
     read_raw,
     source_arrival,
     stamp_bronze,
@@ -119,6 +122,36 @@ def test_arrival_and_volume(spark, lake_run):
     assert ok == {"customers", "loan_accounts"}
 
 
+def test_arrival_by_file_metadata(spark, tmp_path):
+    for source in ("branch_master", "customers", "loan_accounts", "emi_payments"):
+        write_csv(str(tmp_path), source, *([] if source == "customers" else [record(source)]), name=f"{source}_2026_06_30.csv")
+    write_csv(str(tmp_path), "emi_payments", record("emi_payments"), name="emi_payments_2026_06_29.csv")
+    write_csv(str(tmp_path), "loan_applications", record("loan_applications"), name="applications.csv")
+    open(f"{tmp_path}/branch_master/branch_master_2026_06_30.csv", "w").close()  # no byte at all
+    folders = {s: f"{tmp_path}/{s}" for s in SOURCES}
+    expected = day_files(AS_OF.date())
+    found = file_arrival(spark, folders, expected)
+    assert rows(found.select("source", "file", "status")) == sorted(
+        [
+            ("branch_master", "branch_master_2026_06_30.csv", "empty"),
+            ("customers", "customers_2026_06_30.csv", "empty"),
+            ("delinquency", "delinquency_2026_06_30.csv", "missing"),
+            ("emi_payments", "emi_payments_2026_06_29.csv", "unexpected"),
+            ("emi_payments", "emi_payments_2026_06_30.csv", "arrived"),
+            ("loan_accounts", "loan_accounts_2026_06_30.csv", "arrived"),
+            ("loan_applications", "applications.csv", "unexpected"),
+            ("loan_applications", "loan_applications_2026_06_30.csv", "missing"),
+        ],
+        key=repr,
+    )
+    plan = file_listing(spark, folders)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "content" not in plan  # no file is opened
+    assert file_arrival(spark, {}, expected).filter("status <> 'missing'").count() == 0
+    customers = read_raw(spark, SOURCES["customers"], folders["customers"]).limit(0)
+    told = {r.source: (r.files, r.rows, r.is_missing) for r in source_arrival(spark, {"customers": customers}, found).collect()}
+    assert told["customers"] == (1, 0, False) and told["delinquency"] == (0, 0, True) and told["loan_applications"] == (0, 0, True)
+
+
 def test_corrupt_lines_can_be_kept(spark, tmp_path):
     write_csv(str(tmp_path), "customers", record("customers", credit_score="high"))
     kept = read_raw(spark, SOURCES["customers"], f"{tmp_path}/customers", keep_corrupt=True).first()
