@@ -32,6 +32,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BY
         step = max(1, int(n * limit / max(batch.column(column).nbytes, 1)))
         for at in range(0, n, step):
             yield batch.slice(at, min(step, n - at))
+    # A worker lives on through later stages; what Arrow holds in reserve for this one is of no use to them.
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(column: pa.Array) -> list[str]:
