@@ -43,6 +43,20 @@ def test_one_group_of_very_many_copies(spark):
     assert run(documents(spark, rows)) == brute(rows)
 
 
+def test_many_copies_without_an_id_or_with_one_id(spark, monkeypatch):
+    monkeypatch.setattr(exact, "COPIES", 64)
+    for only in (None, 3):
+        rows = [(only, "same")] * 500 + [(1, "other"), (1, "other"), (None, "x")]
+        assert run(documents(spark, rows).repartition(5)) == brute(rows)
+
+
+def test_only_digests_beyond_a_tasks_share_are_salted(spark, monkeypatch):
+    rows = [(i, "same") for i in range(300)] + [(1_000 + i, f"t{i % 250}") for i in range(700)]
+    for width in (1, 3, 50):
+        monkeypatch.setattr(exact, "shuffle_width", lambda _: width)
+        assert run(documents(spark, rows)) == brute(rows)
+
+
 def test_awkward_rows_and_empty_table(spark):
     docs = awkward(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
