@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
+from zlib import crc32
 
 import numpy as np
 
@@ -16,8 +18,10 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Slots that the words of class, id and role attributes are hashed into.
+TOKEN_SLOTS = 4_096
 
-# The element names of HTML by their role, and usual words of class and id attributes.
+# The element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 HIDDEN = frozenset("head script style title noscript template iframe svg object canvas xmp noembed noframes textarea".split())
@@ -41,16 +45,6 @@ SIBLINGS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-NOISE_WORDS = frozenset(
-    "ad ads advert advertisement advertising alert banner bar breadcrumb breadcrumbs button comment commentlist comments"
-    " consent contentinfo cookie cookies copyright disclaimer disqus dropdown feedback footer footnote form gdpr header"
-    " legal links login masthead menu message modal nav navbar navigation newsletter notice notification overlay pager"
-    " pagination popup privacy promo promotion rail recommended related reply respond reviews search share sharing"
-    " sidebar signup skip social sponsor sponsored subscribe tags teaser toolbar topbar warning widget".split()
-)
-MAIN_WORDS = frozenset("article articlebody body content entry main page post prose story text".split())
-
-
 @dataclass
 class Page:
     """Elements in page order; element 0 stands for the page itself."""
@@ -58,13 +52,26 @@ class Page:
     tags: list[str] = field(default_factory=lambda: ["#page"])
     parents: list[int] = field(default_factory=lambda: [-1])
     depths: list[int] = field(default_factory=lambda: [0])
-    names: list[frozenset[str]] = field(default_factory=lambda: [frozenset()])
+    #: Slots of the words in the element's attributes.
+    names: list[frozenset[int]] = field(default_factory=lambda: [frozenset()])
     #: What is known of an element's part in a page made for training, see KnownPage.
     kept: list[int | None] = field(default_factory=lambda: [None])
     #: Text pieces in page order with their element; a None text is the border of a block.
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+@lru_cache(maxsize=20_000)
+def slot(word: str) -> int:
+    return crc32(word.lower().encode("utf-8")) % TOKEN_SLOTS
+
+
+def token_odds(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of a slot's elements to belong to the article, from counts ``(kept, slot)``; zero where little is known."""
+    other, own = counts + 4.0 * counts.sum(axis=1, keepdims=True) / max(counts.sum(), 1.0)
+    odds = np.log(own / max(counts[1].sum(), 1.0)) - np.log(other / max(counts[0].sum(), 1.0))
+    return np.where(counts.sum(axis=0) > 0, np.clip(odds, -4, 4), 0.0)
+
+
 class KnownPage(str):
     """A page made for training. ``marked`` is the same page with the attribute MARK on elements of known part.
 
@@ -136,7 +143,7 @@ def _parsed(html: str, mark: re.Pattern | None) -> Page:
         names, kept = set(), None
         if "=" in token["attrs"]:
             for values in _ATTRIBUTE.findall(token["attrs"]):
-                names.update(w.lower() for value in values for w in _WORDS.findall(value))
+                names.update(slot(w) for value in values for w in _WORDS.findall(value))
             if mark is not None and (known := mark.search(token["attrs"])):
                 kept = int(known[1])
         page.tags.append(tag)
@@ -159,14 +166,14 @@ def _parsed(html: str, mark: re.Pattern | None) -> Page:
 FEATURES = (
     "depth", "depth_share", "children", "siblings", "sibling_place", "same_tag_siblings", "own_text", "subtree_text",
     "subtree_share", "link_share", "tags_a_char", "paragraphs", "stops_a_word", "text_a_block", "place", "end_place",
-    "heading", "paragraph", "list", "container", "inline", "noise_tag", "main_tag", "noise_words", "main_words",
-    "noise_above", "main_above", "noise_tag_above", "main_tag_above", "parent_link_share", "text_before", "text_after",
+    "heading", "paragraph", "list", "container", "inline", "noise_tag", "main_tag", "noise_tokens", "main_tokens",
+    "named", "noise_above", "main_above", "noise_tag_above", "main_tag_above", "parent_link_share", "text_before", "text_after",
     "fields_inside", "noise_inside", "hidden",
 )
 
 
-def features(page: Page) -> np.ndarray:
-    """A row of FEATURES per element: subtree density, attribute words, depth, and siblings."""
+def features(page: Page, odds: np.ndarray) -> np.ndarray:
+    """A row of FEATURES per element: subtree density, attribute tokens by their learnt odds, depth, and siblings."""
     n = len(page.tags)
     tags, parents = page.tags, page.parents
     own = np.zeros(n)
@@ -191,10 +198,12 @@ def features(page: Page) -> np.ndarray:
     in_link = np.zeros(n, bool)
     noise_tag = np.array([t in NOISE_TAGS for t in tags], float)
     main_tag = np.array([t in MAIN_TAGS for t in tags], float)
-    noise = np.array([len(w & NOISE_WORDS) for w in page.names], float)
-    main = np.array([len(w & MAIN_WORDS) for w in page.names], float)
+    known = [[odds[t] for t in w] for w in page.names]
+    noise = np.array([-min(v, default=0.0) for v in known]).clip(0)
+    main = np.array([max(v, default=0.0) for v in known]).clip(0)
+    named = np.array([len(w) for w in page.names], float)
     above = np.zeros((n, 4))
-    own_four = np.stack([noise > 0, main > 0, noise_tag > 0, main_tag > 0], axis=1)
+    own_four = np.stack([noise > 1, main > 1, noise_tag > 0, main_tag > 0], axis=1)
     for i in range(1, n):
         p = parents[i]
         in_link[i] = links[i] or in_link[p]
@@ -208,7 +217,7 @@ def features(page: Page) -> np.ndarray:
             stops,
             words,
             [t in ("input", "button", "select", "textarea", "label") for t in tags],
-            (noise > 0) | (noise_tag > 0),
+            (noise > 1) | (noise_tag > 0),
             own_blocks,
         ],
         axis=1,
@@ -262,6 +271,7 @@ def features(page: Page) -> np.ndarray:
         main_tag,
         noise,
         main,
+        named,
         above[:, 0],
         above[:, 1],
         above[:, 2],

@@ -1,6 +1,7 @@
 """Main text of HTML pages: gradient-boosted trees over the elements, decoded along the tree.
 
-Each element gets features of its subtree's density, its attributes' words, its depth and its siblings. Trees
+Each element gets features of its subtree's density, its attributes' words, its depth and its siblings. The words of
+class, id and role attributes are hashed into slots, whose log-odds are learnt with the trees. Trees
 boosted on the logistic loss score how likely it belongs to the article. Decoding then chooses for the whole
 page at once: an element outside the article may start it, an element inside may be dropped with all below
 it, and nothing below a dropped element returns. Of all such choices the one with the largest sum of log odds
@@ -8,7 +9,8 @@ is taken, so ancestors and descendants never contradict each other.
 
 No labels are given, so the trees learn from a bounded sample: ``max_train`` pages with the smallest hashed
 ids. Pages that mark their article are examples as they stand. The sampled pages' own sentences are moreover
-laid out anew in many ways (other containers and names, adverts inside, comments below), with the parts known.
+laid out anew in many ways (other containers and names, some of them made up, adverts inside, comments below), with
+the parts known.
 
 Defined results: a null page counts as empty, and an empty page or one without main text has the empty text
 and 0 characters. Every page is handled whole, on its own; repeated rows give repeated results. An empty table
@@ -27,14 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendworks.llm.batches import bounded_batches, slices, texts_of
-from lendworks.llm.dom import FEATURES, MAIN_TAGS, KnownPage, Page, features, parse, text_of
+from lendworks.llm.dom import FEATURES, MAIN_TAGS, TOKEN_SLOTS, KnownPage, Page, features, parse, text_of, token_odds
+from lendworks.staging import Stage
 
 MAX_TRAIN = 300
-LAYOUTS = 4
+LAYOUTS = 6
+#: Share of the layouts whose containers have made-up names.
+INVENTED = 0.5
 #: Elements of a training page that are learnt from, at most.
 TRAIN_ELEMENTS = 1_500
-TREES = 60
-DEPTH = 4
+TREES = 100
+DEPTH = 5
 BINS = 32
 RATE = 0.25
 START_COST = 1.0
@@ -44,13 +49,17 @@ LOG_ODDS = 4.0
 
 @dataclass
 class Boosted:
-    """Complete binary trees: per tree the split features, split values and leaf scores."""
+    """Complete binary trees, per tree the split features, split values and leaf scores; and the attribute tokens' odds."""
 
+    tokens: np.ndarray
     start: float
     features: np.ndarray
     borders: np.ndarray
     leaves: np.ndarray
 
+    def page_features(self, page: Page) -> np.ndarray:
+        return features(page, self.tokens)
+
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.start, np.float32)
         rows = np.arange(len(x))
@@ -62,11 +71,12 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Boosted:
+def boost(x: np.ndarray, y: np.ndarray, tokens: np.ndarray) -> Boosted:
     """Second-order boosting on histograms."""
     inner, n = 2**DEPTH - 1, max(len(y), 1)
     good = min(max(float(y.mean()) if len(y) else 0.0, 1 / (2 * n)), 1 - 1 / (2 * n))
     model = Boosted(
+        tokens,
         float(np.log(good / (1 - good))),
         np.zeros((TREES, inner), np.int64),
         np.full((TREES, inner), np.inf, np.float32),
@@ -147,8 +157,12 @@ def labels(page: Page) -> np.ndarray | None:
     return out
 
 
-def layout(page: Page, rng: random.Random) -> KnownPage:
-    """A page with known parts, made of another page's sentences."""
+def layout(page: Page, rng: random.Random, invented: float = INVENTED) -> KnownPage:
+    """A page with known parts, made of another page's sentences.
+
+    On a share of ``invented`` pages the containers have made-up names, which tell nothing about their parts.
+    """
+    strange = rng.random() < invented
     prose = [t.strip() for i, t in page.pieces if t and len(t.strip()) > 40 and page.tags[i] not in ("script", "style")]
     short = [t.strip() for _, t in page.pieces if t and 0 < len(t.strip()) <= 40] or ["More"]
     prose = prose or short
@@ -163,6 +177,8 @@ def layout(page: Page, rng: random.Random) -> KnownPage:
 
     def box(tags: str, names: str, kept: int, body: str) -> str:
         tag, name = rng.choice(tags.split()), rng.choice([*names.split(), ""])
+        if strange and name:
+            name = "".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
         attribute = "" if not name else f' {rng.choice(("class", "id"))}="{name}"'
         return f'<{tag}{attribute} part-kept="{kept}">{body}</{tag}>'
 
@@ -217,28 +233,47 @@ def layout(page: Page, rng: random.Random) -> KnownPage:
 
 def fit(pages: DataFrame, max_train: int = MAX_TRAIN) -> Boosted:
     """Train on a bounded sample; its elements' features, not its pages, reach the driver."""
-    sample = pages.select(F.col("page_id").cast("string").alias("name"), F.col("html").cast("string").alias("html"))
-    sample = sample.filter("html is not null").orderBy(F.xxhash64("name"), "name", F.xxhash64("html")).limit(max_train)
+    sample_of = pages.select(F.col("page_id").cast("string").alias("name"), F.col("html").cast("string").alias("html"))
+    sample_of = sample_of.filter("html is not null").orderBy(F.xxhash64("name"), "name", F.xxhash64("html")).limit(max_train)
+    sample = Stage(pages.sparkSession).table("sample", lambda: sample_of)
+
+    def known(batch: pa.RecordBatch) -> Iterator[tuple[Page, np.ndarray, list[int]]]:
+        """Pages of known parts, each with its elements' labels and those of them that are learnt from."""
+        for name, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            rng = random.Random(name or "")
+            page = parse(html)
+            for one in [page, *(parse(layout(page, rng)) for _ in range(LAYOUTS))]:
+                y = labels(one)
+                if y is not None:
+                    yield one, y, sorted(rng.sample(range(len(y)), min(len(y), TRAIN_ELEMENTS)))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, TOKEN_SLOTS), np.int64)
+        for batch in slices(batches, 1):
+            for page, y, picked in known(batch):
+                for i in picked:
+                    for token in page.names[i]:
+                        sums[int(y[i]), token] += 1
+        kept, slots = np.nonzero(sums)
+        columns = [pa.array(kept.astype(np.int32)), pa.array(slots.astype(np.int32)), pa.array(sums[kept, slots])]
+        yield pa.RecordBatch.from_arrays(columns, ["kept", "slot", "n"])
+
+    counted = sample.mapInArrow(count, "kept int, slot int, n bigint").groupBy("kept", "slot").agg(F.sum("n").alias("n"))
+    counts = np.zeros((2, TOKEN_SLOTS))
+    for row in counted.collect():  # two rows a slot at most
+        counts[row["kept"], row["slot"]] = row["n"]
+    tokens = token_odds(counts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            rows = []
-            for name, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                rng = random.Random(name or "")
-                page = parse(html)
-                for one in [page, *(parse(layout(page, rng)) for _ in range(LAYOUTS))]:
-                    y = labels(one)
-                    if y is not None:
-                        x = features(one)
-                        picked = sorted(rng.sample(range(len(y)), min(len(y), TRAIN_ELEMENTS)))
-                        rows.append((x[picked].tobytes(), y[picked].astype(np.uint8).tobytes()))
+            rows = [(features(p, tokens)[picked].tobytes(), y[picked].astype(np.uint8).tobytes()) for p, y, picked in known(batch)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["x", "y"])
 
     found = sample.mapInArrow(run, "x binary, y binary").collect()
     if not found:
-        return boost(np.zeros((0, len(FEATURES)), np.float32), np.zeros(0))
+        return boost(np.zeros((0, len(FEATURES)), np.float32), np.zeros(0), tokens)
     x = np.frombuffer(b"".join(r["x"] for r in found), np.float32).reshape(-1, len(FEATURES))
-    return boost(x, np.frombuffer(b"".join(r["y"] for r in found), np.uint8).astype(float))
+    return boost(x, np.frombuffer(b"".join(r["y"] for r in found), np.uint8).astype(float), tokens)
 
 
 def extract(pages: DataFrame, model: Boosted | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
@@ -252,7 +287,7 @@ def extract(pages: DataFrame, model: Boosted | None = None, max_train: int = MAX
         out = []
         for at in range(0, len(htmls), 64):
             parsed = [parse(h or "") for h in htmls.slice(at, 64).to_pylist()]
-            rows = [features(p) for p in parsed]
+            rows = [shared.value.page_features(p) for p in parsed]
             odds = shared.value.log_odds(np.concatenate(rows))
             ends = np.cumsum([len(r) for r in rows])
             out += [text_of(p, decode(p, odds[e - len(r) : e])) for p, r, e in zip(parsed, rows, ends)]

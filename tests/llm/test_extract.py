@@ -20,7 +20,7 @@ def pages(spark):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return extract.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), max_train=120)
+    return extract.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
 
 
 def truth(page: str) -> str:
@@ -31,7 +31,7 @@ def truth(page: str) -> str:
 
 def main_text(model, page: str) -> str:
     parsed = dom.parse(page)
-    return dom.text_of(parsed, extract.decode(parsed, model.log_odds(dom.features(parsed))))
+    return dom.text_of(parsed, extract.decode(parsed, model.log_odds(model.page_features(parsed))))
 
 
 def test_query_finds_every_article(spark, pages):
@@ -40,15 +40,25 @@ def test_query_finds_every_article(spark, pages):
     assert all(r["text"] == truth(pages[r["page_id"]]) and r["n_chars"] == len(r["text"]) for r in found)
 
 
-def test_other_layouts(model, pages):
-    same = words = 0
+@pytest.mark.parametrize("invented", [0.0, 1.0])
+def test_other_layouts(model, pages, invented):
+    """Containers with usual names, and with names that no page has had before."""
+    same = words = tried = 0
     for n, page in pages.items():
-        parsed = dom.parse(extract.layout(dom.parse(page), random.Random(f"held out {n}")))
-        wanted = dom.text_of(parsed, extract.labels(parsed) > 0)
-        got = dom.text_of(parsed, extract.decode(parsed, model.log_odds(dom.features(parsed))))
-        same += got == wanted
-        words += len(set(got.split()) & set(wanted.split())) / max(len(set(got.split()) | set(wanted.split())), 1)
-    assert same / len(pages) > 0.8 and words / len(pages) > 0.9
+        for again in range(3):
+            parsed = dom.parse(extract.layout(dom.parse(page), random.Random(f"held out {n} {again}"), invented))
+            wanted = dom.text_of(parsed, extract.labels(parsed) > 0)
+            got = dom.text_of(parsed, extract.decode(parsed, model.log_odds(model.page_features(parsed))))
+            tried += 1
+            same += got == wanted
+            words += len(set(got.split()) & set(wanted.split())) / max(len(set(got.split()) | set(wanted.split())), 1)
+    assert same / tried > 0.8 and words / tried > 0.9, (same / tried, words / tried)
+
+
+def test_attribute_tokens_are_learnt(model):
+    odds = {w: model.tokens[dom.slot(w)] for w in ("comments", "Sidebar", "navbar", "entry", "story")}
+    assert max(odds[w] for w in ("comments", "Sidebar", "navbar")) < -1 < 1 < min(odds["entry"], odds["story"])
+    assert len(model.tokens) == dom.TOKEN_SLOTS and abs(model.tokens[dom.slot("nosuchname")]) < 1
 
 
 def test_everything_around_the_article_goes(model, pages):
@@ -122,7 +132,7 @@ def test_hostile_attributes(model, pages):
     for attribute in hostile:
         found = dom.parse(f"<div {attribute}>x</div><p>y</p>")
         assert set(found.kept) == {None} and extract.labels(found) is None
-        dom.features(found)
+        model.page_features(found)
         assert main_text(model, page.replace("<article>", f"<article {attribute}>")) is not None
     plain = main_text(model, page)
     assert main_text(model, page.replace("<p>", '<p part-kept="0">')) == plain == truth(page)
