@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lendworks.llm.batches import bounded_batches, slices, texts_of
 from lendworks.llm.bpe import parts
 from lendworks.llm.pieces import CACHE_PIECES, PieceCache, as_byte_characters, packed_ids
+from lendworks.staging import Stage
 
 MAGIC = b"DACTOK01"
 FILE_MAGIC = b"DACFILE1"
@@ -269,12 +270,6 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """Per stored document ``doc_id, start, n_tokens, ids_crc32`` and, if asked, ``ids``."""
-    files = _files(spark, folder)
-    # The header's count of ids is at bytes 17 to 24.
-    sizes = files.select("part", "piece", F.conv(F.hex(F.substring("content", 17, 8)), 16, 10).cast("long").alias("n"))
-    in_order = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.withColumn("base", F.coalesce(F.sum("n").over(in_order), F.lit(0)).cast("long")).drop("n")
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, piece, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -300,7 +295,14 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "part long, piece long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    stored = files.mapInArrow(run, schema).join(bases, ["part", "piece"])
-    return stored.select(
-        "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids
+    # Files are opened once: what they hold tells their sizes as well.
+    stored = Stage(spark).table("stored", lambda: _files(spark, folder).mapInArrow(run, schema))
+    sizes = stored.groupBy("part", "piece").agg(F.sum("n_tokens").alias("n"))
+    earlier = lambda window: F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per writing task meets in one window, and that task's files in another.
+    parts = sizes.groupBy("part").agg(F.sum("n").alias("n")).select("part", earlier(Window.orderBy("part")).alias("before"))
+    own = earlier(Window.partitionBy("part").orderBy("piece")).alias("own")
+    bases = sizes.select("part", "piece", own).join(parts, "part").select("part", "piece", (F.col("before") + F.col("own")).alias("base"))
+    return stored.join(bases, ["part", "piece"]).select(
+        "doc_id", (F.col("base") + F.col("within")).cast("long").alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids
     )
