@@ -74,82 +74,34 @@ STAGING_VIEWS = {
 }
 
 
+# Columns of the reporting marts in their published order; a rule's own column comes last.
+HIGH_RISK_LOANS = """loan_id customer_id customer_name branch_id branch_name region loan_type loan_amount collection_rate
+    missed_count max_days_past_due total_overdue_amount risk_score risk_category""".split()
+BRANCH_RISK_DASHBOARD = """branch_id branch_name city state region total_loans total_borrowers total_disbursed_amount
+    collection_rate default_rate total_overdue_amount npa_records""".split()
+COLLECTION_TREND = """emi_due_month loan_type total_emi_records total_loans total_emi_due total_amount_paid collection_rate
+    missed_rate paid_count late_count partial_count missed_count""".split()
+PORTFOLIO_EXECUTIVE_SUMMARY = """kpi_date total_loans total_customers total_loan_portfolio total_emi_due
+    total_amount_collected total_overdue_amount active_loans closed_loans defaulted_loans high_risk_loans avg_risk_score
+    collection_rate default_rate high_risk_loan_rate""".split()
+
+
 def high_risk_loans(loan_risk: DataFrame) -> DataFrame:
-    return loan_risk.filter(F.col("risk_category").isin("CRITICAL", "HIGH")).select(
-        "loan_id",
-        "customer_id",
-        "customer_name",
-        "branch_id",
-        "branch_name",
-        "region",
-        "loan_type",
-        "loan_amount",
-        "collection_rate",
-        "missed_count",
-        "max_days_past_due",
-        "total_overdue_amount",
-        "risk_score",
-        "risk_category",
-        F.lit(True).alias("requires_collection_attention"),
-    )
+    risky = loan_risk.filter(F.col("risk_category").isin("CRITICAL", "HIGH"))
+    return risky.select(*HIGH_RISK_LOANS, F.lit(True).alias("requires_collection_attention"))
 
 
 def branch_risk_dashboard(branches: DataFrame) -> DataFrame:
     """A branch without dues has collection rate 0 and so counts as high risk."""
-    return branches.select(
-        "branch_id",
-        "branch_name",
-        "city",
-        "state",
-        "region",
-        "total_loans",
-        "total_borrowers",
-        "total_disbursed_amount",
-        "collection_rate",
-        "default_rate",
-        "total_overdue_amount",
-        "npa_records",
-        risk.branch_health().alias("branch_health_status"),
-    )
+    return branches.select(*BRANCH_RISK_DASHBOARD, risk.branch_health().alias("branch_health_status"))
 
 
 def collection_trend(monthly: DataFrame) -> DataFrame:
-    return monthly.select(
-        "emi_due_month",
-        "loan_type",
-        "total_emi_records",
-        "total_loans",
-        "total_emi_due",
-        "total_amount_paid",
-        "collection_rate",
-        "missed_rate",
-        "paid_count",
-        "late_count",
-        "partial_count",
-        "missed_count",
-        risk.collection_band().alias("collection_performance_band"),
-    )
+    return monthly.select(*COLLECTION_TREND, risk.collection_band().alias("collection_performance_band"))
 
 
 def portfolio_executive_summary(kpis: DataFrame) -> DataFrame:
-    return kpis.select(
-        "kpi_date",
-        "total_loans",
-        "total_customers",
-        "total_loan_portfolio",
-        "total_emi_due",
-        "total_amount_collected",
-        "total_overdue_amount",
-        "active_loans",
-        "closed_loans",
-        "defaulted_loans",
-        "high_risk_loans",
-        "avg_risk_score",
-        "collection_rate",
-        "default_rate",
-        "high_risk_loan_rate",
-        risk.portfolio_health().alias("portfolio_health_status"),
-    )
+    return kpis.select(*PORTFOLIO_EXECUTIVE_SUMMARY, risk.portfolio_health().alias("portfolio_health_status"))
 
 
 def reporting_marts(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
