@@ -1,8 +1,8 @@
 """Toxicity: maximum-scoring segment search over token log-odds, judged by extreme-value statistics.
 
 Tokens are runs of bytes without ASCII white space or punctuation, lower-cased in ASCII and hashed into SLOTS. A
-slot's log-odds between toxic and clean texts have an informative Dirichlet prior, PRIOR tokens dealt like the whole
-corpus, so rare tokens stay near zero. Less a drift (the DRIFT_SHARE quantile of the log-odds over clean tokens) the
+slot's log-odds between toxic and clean texts have an informative Dirichlet prior, dealt like the whole corpus and
+PRIOR_SHARE as large as the smaller kind, so rare tokens stay near zero. Less a drift (the DRIFT_SHARE quantile of the log-odds over clean tokens) the
 scores are negative almost everywhere in clean text, and a linear-time scan finds all maximal-scoring segments: the
 toxic passages. For clean text of n tokens, segments of score S or more come in ``E = K n exp(-lambda S)`` expected
 cases: lambda solves ``sum p exp(lambda s) = 1``, K is the maximum-likelihood value over clean texts. A passage is
@@ -37,7 +37,7 @@ from lendworks.llm.batches import bounded_batches, packed, slices, unpacked
 from lendworks.staging import Stage
 
 SLOTS = 1 << 18
-PRIOR = 20_000.0
+PRIOR_SHARE = 0.1
 DRIFT_SHARE = 0.99
 #: Standard deviations by which a log-odds ratio must differ from zero.
 DOUBT = 2.0
@@ -66,12 +66,14 @@ def slot(token: bytes) -> int:
     return crc32(token) & (SLOTS - 1)
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float | None = None) -> np.ndarray:
     """Log-odds ratio of each slot under a Dirichlet prior that follows the joint counts, less its uncertainty.
 
     What lies within DOUBT standard deviations of zero counts as zero: a token seen once tells nothing.
     """
     both = toxic + clean
+    if prior is None:
+        prior = PRIOR_SHARE * min(toxic.sum(), clean.sum())
     own = prior * both / max(both.sum(), 1.0)
     total = own.sum()
     seen = both > 0
