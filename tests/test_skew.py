@@ -110,7 +110,10 @@ def test_missing_rows_by_anti_joins(skewed, hot):
     for parents in (known, known.filter("k <> 'hot'")):
         found = missing_rows(skewed, parents, "k", hot)
         plan = plan_of(found)
-        assert plan.count("LeftAnti") == (2 if hot else 1) and "LeftOuter" not in plan
+        # Where no listed key can be known, the optimiser drops their join.
+        assert plan.count("LeftAnti") >= 1 and "LeftOuter" not in plan
+        if parents is known:
+            assert plan.count("LeftAnti") == (2 if hot else 1)
         assert rows(found) == rows(skewed.join(parents, "k", "left_anti"))
 
 
