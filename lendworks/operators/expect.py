@@ -8,15 +8,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lendworks.operators.skew import split_heavy
 
-def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
-    """Non-NULL values that occur more than once, with their number of rows."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .filter("cnt > 1")
-    )
+
+def duplicate_keys(df: DataFrame, column: str, hot: Iterable = (), tasks: int | None = None) -> DataFrame:
+    """Non-NULL values that occur more than once, with their number of rows.
+
+    Tasks count before the shuffle, which for keys that hardly repeat means a table of nearly all their rows. With
+    ``tasks`` only the heavy keys listed in ``hot`` are counted so; rows of all others are dealt by key over that many
+    tasks, each of which holds its share of the keys.
+    """
+    keys = df.filter(F.col(column).isNotNull()).select(column)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(column).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
+
+    if tasks is None:
+        return counted(keys)
+    hot = list(hot)
+    ordinary, heavy = split_heavy(keys, column, hot)
+    dealt = counted(ordinary.repartition(tasks, column))
+    return dealt.unionByName(counted(heavy)) if hot else dealt
 
 
 def unmatched_keys(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

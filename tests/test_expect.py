@@ -22,6 +22,14 @@ def test_single_expectations(spark, table):
     assert rows(expect.unmatched_keys(table, "k", parent, "id")) == [("b", 1)]
 
 
+@pytest.mark.parametrize("hot", [(), ("a",), ("a", None, "absent")])
+def test_dealt_keys_are_the_same_duplicates_and_not_counted_before_the_shuffle(spark, hot):
+    table = spark.createDataFrame([(k,) for k in ["a"] * 5 + ["b", "b", "c", "", "", None, None]], "k string")
+    found = expect.duplicate_keys(table, "k", hot, tasks=3)
+    assert rows(found) == rows(expect.duplicate_keys(table, "k")) == [("", 2), ("a", 5), ("b", 2)]
+    assert "RepartitionByExpression" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize(
     "test,column,values,failing",
     [("not_null", "k", (), 2), ("accepted_values", "v", ("X", "Y"), 2), ("non_negative", "r", (), 1), ("rate_range", "r", (0, 100), 2)],
