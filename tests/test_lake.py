@@ -4,8 +4,10 @@ import glob
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendworks.catalogue.lake import JOINED, Lake
+from lendworks.sizing import EXPANSION, TARGET_BYTES, tasks_for
 from tests.helpers import rows
 
 AT = datetime(1995, 2, 3)
@@ -52,3 +54,22 @@ def test_raw_files_are_compressed_and_hold_every_row_as_it_is(small):
     assert rows(small.ingested("customers").select("gender").distinct()) == [(" m",), ("F",)]  # blanks are kept
     plain = small.csv_folder("customers", "none")
     assert glob.glob(f"{plain}/*.csv") and not glob.glob(f"{plain}/*.gz")
+
+
+def test_published_gold_is_written_once(small):
+    database = small.published()
+    assert not glob.glob(f"{small.stage.path.removeprefix('file:')}/stamped_*")
+    published = small.spark.table(f"{database}.stg_loan_default_risk_summary").drop("gold_processed_timestamp", "pipeline_layer")
+    assert rows(published) == rows(small.gold.loan_default_risk_summary())
+    layers = small.spark.table(f"{database}.gold_portfolio_kpis").select("pipeline_layer", F.col("gold_processed_timestamp").cast("string"))
+    assert rows(layers) == [("GOLD", "2026-06-30 00:00:00")]
+
+
+def test_loan_mart_is_not_saved_twice(small):
+    tables = small.gold_tables()
+    saved = {p.rpartition("/")[2] for p in glob.glob(f"{small.stage.path.removeprefix('file:')}/*")}
+    assert {f"gold_{n}" for n in tables} - saved == {"gold_loan_default_risk_summary"} and "loan_risk" in saved
+
+
+def test_tasks_follow_the_input():
+    assert tasks_for(0) == 1 and tasks_for(10 * TARGET_BYTES) == 10 * EXPANSION
