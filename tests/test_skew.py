@@ -93,6 +93,16 @@ def test_many_identical_copies_leave_one_survivor(spark, monkeypatch, copies):
         assert flagged.filter("dup AND k = 'hot' AND v = 5").count() == copies - 1
 
 
+def test_very_many_copies_are_written_out_by_several_tasks(spark, monkeypatch):
+    from lendworks.operators import skew
+
+    monkeypatch.setattr(skew, "COPIES", 8)
+    same = spark.range(0, 400, 1, 3).selectExpr("'hot' AS k", "5 AS v")
+    flagged = flag_duplicates(same, "k", [F.col("v").desc()], "dup", ["hot"])
+    per_task = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 400 and max(per_task) <= 200
+
+
 def test_long_lists_travel_as_a_broadcast(spark, skewed, monkeypatch):
     from lendworks.operators import skew
 
