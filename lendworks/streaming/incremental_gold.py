@@ -47,6 +47,9 @@ class _Layer:
         self._silver = silver
         self._hot: dict[str, dict[str, list]] = {}
 
+    def build(self, *sources: str) -> None:
+        """Nothing is left to save; a load has written all records."""
+
     def records(self, source: str) -> DataFrame:
         return self._silver.tables[source].read()
 

@@ -213,3 +213,21 @@ def test_hot_keys_do_not_change_the_loan_mart(silver, gold):
         {"customer_id": ["C1"], "branch_id": ["BR1"]},
     )
     assert rows(spread) == rows(gold.loan_risk())
+
+
+def test_listed_keys_do_not_repeat_the_joins_by_loan(silver, gold, monkeypatch):
+    listed = {"customer_id": ["C1"], "branch_id": ["BR1"]}
+    monkeypatch.setattr(silver, "hot", lambda source: listed)
+    built = GoldLayer(silver, lambda name, build: build()).loan_risk()
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sum(paid_amount") == 1 and plan.count("sum(overdue_amount") == 1
+    assert rows(built) == rows(gold.loan_risk())
+
+
+def test_the_loan_mart_builds_the_sources_it_reads(silver, gold):
+    memory, asked = Memory(), []
+    fresh = SilverLayer(silver._bronze, memory.table)
+    fresh.build, build = lambda *sources: asked.append(sources) or build(*sources), fresh.build
+    assert rows(GoldLayer(fresh, Memory().table).loan_risk()) == rows(gold.loan_risk())
+    assert asked == [marts.LOAN_SOURCES]
+    assert set(memory.saved) == {f"validated_{s}" for s in marts.LOAN_SOURCES}
